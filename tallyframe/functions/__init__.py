@@ -1,6 +1,7 @@
 """Column-level helpers: event time, text keys and coordinates."""
 
 from tallyframe.functions.coords import Box, in_any_box, split_coordinate
+from tallyframe.functions.nulls import with_values
 from tallyframe.functions.text import normalized
 from tallyframe.functions.timewin import (
     as_hour,
@@ -22,4 +23,5 @@ __all__ = [
     "parse_event_time",
     "split_coordinate",
     "time_window",
+    "with_values",
 ]

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.functions.nulls import with_values
 from tallyframe.functions.text import normalized
 from tallyframe.functions.timewin import hour_bucket, time_window
 from tallyframe.plans.joins import count_members
@@ -21,7 +22,7 @@ def _in_window(events: DataFrame, keys: list[str], start: Bound, end: Bound, ts:
                normalize: bool) -> DataFrame:
     """``ts`` and the non-null keys of the events in ``[start, end)``."""
     rows = time_window(events, start, end, ts=ts)
-    rows = rows.dropna(subset=[ts, *keys])
+    rows = with_values(rows, ts, *keys)
     return rows.select(ts, *((normalized(k) if normalize else F.col(k)).alias(k) for k in keys))
 
 
@@ -97,7 +98,7 @@ def histogram(values: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> Dat
     Every bin is returned, empty ones too; the last one includes its right edge.
     A single distinct value is put in the middle of a range of width one.
     """
-    tally = values.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("_n"))
+    tally = with_values(values, column).groupBy(column).agg(F.count("*").alias("_n"))
     bounds = tally.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
     lo = tally.agg(F.min(column)).scalar()
     span = tally.agg(F.max(column) - F.min(column)).scalar()

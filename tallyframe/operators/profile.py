@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.functions.nulls import with_values
+
 TOP_ROWS = 5
 
 
@@ -55,7 +57,7 @@ def profile_numeric(df: DataFrame, column: str) -> DataFrame:
 
 def profile_categories(df: DataFrame, column: str, *, name: str = "n") -> DataFrame:
     """Rows per non-null value of ``column``, most frequent first."""
-    counts = df.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias(name))
+    counts = with_values(df, column).groupBy(column).agg(F.count("*").alias(name))
     return counts.orderBy(F.desc(name), column)
 
 
@@ -65,7 +67,7 @@ def profile_top_rows(df: DataFrame, column: str, k: int = TOP_ROWS, *,
 
     Equal values are ordered by the other columns from left to right.
     """
-    rows = df.dropna(subset=[column])
+    rows = with_values(df, column)
     for c in non_blank:
         rows = rows.filter(F.trim(c) != "")
     if where is not None:
@@ -77,5 +79,5 @@ def profile_top_rows(df: DataFrame, column: str, k: int = TOP_ROWS, *,
 def profile_top_groups(df: DataFrame, group: str, column: str, k: int = TOP_ROWS, *,
                        name: str = "total") -> DataFrame:
     """The ``k`` groups with the greatest sum of ``column``."""
-    sums = df.dropna(subset=[column]).groupBy(group).agg(F.sum(column).alias(name))
+    sums = with_values(df, column).groupBy(group).agg(F.sum(column).alias(name))
     return sums.orderBy(F.desc(name), F.asc_nulls_last(group)).limit(k)

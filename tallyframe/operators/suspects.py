@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.coords import Box, in_any_box, split_coordinate
+from tallyframe.functions.nulls import with_values
 from tallyframe.functions.timewin import gap_seconds, hour_bucket
 from tallyframe.plans.joins import count_members
 from tallyframe.plans.ranking import TAKE_ROWS, first_rows
@@ -27,7 +28,7 @@ def total_users(events: DataFrame, *, user: str = "user_id") -> DataFrame:
 
 def user_activity(events: DataFrame, *, user: str = "user_id", ts: str = "ts") -> DataFrame:
     """Events, first and last time of every user; events without a time count as none."""
-    return events.dropna(subset=[user]).groupBy(user).agg(
+    return with_values(events, user).groupBy(user).agg(
         F.count(ts).alias("pixel_placements"),
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
 
@@ -79,7 +80,7 @@ def top_coordinates_of(events: DataFrame, users: DataFrame, k: int = TOP_COORDIN
                        user: str = "user_id", ts: str = "ts", key: str = "coordinate",
                        **join_limits: int) -> DataFrame:
     """The ``k`` coordinates where ``users`` placed most."""
-    rows = events.dropna(subset=[ts, user]).select(user, key)
+    rows = with_values(events, ts, user).select(user, key)
     counts = count_members(rows, users, user, [key], name="placements", **join_limits)
     return first_rows(counts, [F.desc("placements"), F.asc_nulls_last(key)], k)
 
@@ -90,7 +91,7 @@ def hourly_activity_in_regions(events: DataFrame, users: DataFrame,
                                **join_limits: int) -> DataFrame:
     """Events of ``users`` inside the boxes per hour, busiest hour first."""
     x, y = split_coordinate(key)
-    rows = events.dropna(subset=[ts, user]).filter(in_any_box(x, y, boxes))
+    rows = with_values(events, ts, user).filter(in_any_box(x, y, boxes))
     rows = rows.select(user, hour_bucket(ts).alias("hour"))
     counts = count_members(rows, users, user, ["hour"], name="bot_changes", **join_limits)
     return counts.orderBy(F.desc("bot_changes"), "hour")

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.functions.nulls import with_values
 from tallyframe.functions.timewin import gap_seconds, time_window
 from tallyframe.plans.joins import lookup
 from tallyframe.plans.ranking import with_row_index
@@ -39,7 +40,7 @@ def sessions(events: DataFrame, start: Bound = None, end: Bound = None, *,
     count. A user with a third of all events then brings at most one row per
     cell to the window, which joins cells whose gap is small enough.
     """
-    rows = time_window(events, start, end, ts=ts, closed=closed).dropna(subset=[ts])
+    rows = with_values(time_window(events, start, end, ts=ts, closed=closed), ts)
     cell = F.window(ts, f"{gap_seconds_max} seconds")["start"]
     cells = rows.groupBy(F.col(user), cell.alias("_cell")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_n"))

@@ -120,7 +120,7 @@ def lookup(
     keyed = table.select(F.col(on).alias("_key"), weight, *values)
     # The weights sum to the total, so `hot` has at most 1 / HOT_SHARE rows.
     hot = F.broadcast(keyed.filter(is_hot).drop(weight))
-    cold = keyed.filter(~is_hot).drop(weight).hint("merge")
+    cold = keyed.filter(~is_hot).drop(weight)
     hot_rows = rows.join(hot, match)
     cold_rows = rows.join(hot.select("_key"), match, "left_anti").join(cold, match)
     return hot_rows.unionByName(cold_rows).drop("_key")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.functions.nulls import with_values
 from tallyframe.functions.timewin import parse_event_time
 
 # The columns of the CSV that are kept besides the timestamp.
@@ -31,7 +32,7 @@ def read_placements_csv(spark: SparkSession, path: str, *, on_bad_time: str = "d
         *PLACEMENT_COLUMNS,
         F.to_date(F.substring(text, 1, 10)).alias("event_date"),
     )
-    return rows if on_bad_time == "fail" else rows.dropna(subset=["ts"])
+    return rows if on_bad_time == "fail" else with_values(rows, "ts")
 
 
 def write_placements(placements: DataFrame, path: str, *, mode: str = "ignore") -> None:

@@ -8,6 +8,7 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.functions.nulls import with_values
 from tallyframe.functions.text import normalized
 
 # Postal abbreviations of the states.
@@ -70,7 +71,7 @@ def with_state(population: DataFrame, names: Mapping[str, str] = STATE_ABBREVIAT
     """Add ``state`` from the state's name and drop the rows of unknown names."""
     known = F.create_map(*map(F.lit, chain.from_iterable(names.items())))
     state = F.try_element_at(known, normalized(F.col(name)))
-    return population.withColumn("state", state).dropna(subset=["state"])
+    return with_values(population.withColumn("state", state), "state")
 
 
 def load_population(spark: SparkSession, path: str,
