@@ -10,9 +10,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.plans.staging import stage
+
+
+# Stated, so that reading a table needs no job to infer them.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +112,7 @@ def write_election_tree(rows: DataFrame, root: str) -> None:
         [F.lit("Lake, North").alias("county"), "precinct", votes, "party", "office"],
         ["precinct", "office", votes],
     ]
+    rows = stage(rows, "election")
     for i, columns in enumerate(layouts):
         (
             rows.filter(number % 3 == i).select(*columns, "state", "year")
@@ -134,5 +152,7 @@ def write_election_archives(rows: DataFrame, folder: str) -> None:
         yield pd.DataFrame({"lines": [n]})
 
     line = F.concat_ws(",", "office", "precinct", "party", F.col("votes").cast("string"))
-    ordered = rows.select("state", "year", line.alias("line")).sortWithinPartitions("state", "year")
+    # The precinct spreads a state that holds much of the data.
+    spread = rows.repartition("state", "year", "precinct")
+    ordered = spread.select("state", "year", line.alias("line")).sortWithinPartitions("state", "year")
     ordered.mapInPandas(write_zip, "lines bigint").agg(F.sum("lines")).collect()

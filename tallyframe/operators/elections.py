@@ -22,11 +22,8 @@ RATE_OFFICE = "President"
 
 def canonical_party(party: str | Column = "party") -> Column:
     """Canonical party name; NULL and unknown spellings are ``Other``."""
-    text = normalized(party)
-    label = F.lit(OTHER_PARTY)
-    for name, spellings in reversed(PARTY_SPELLINGS.items()):
-        label = F.when(text.isin(*spellings), F.lit(name)).otherwise(label)
-    return label
+    names = [F.lit(v) for name, known in PARTY_SPELLINGS.items() for s in known for v in (s, name)]
+    return F.coalesce(F.try_element_at(F.create_map(*names), normalized(party)), F.lit(OTHER_PARTY))
 
 
 def clean_results(raw: DataFrame, *, dedupe: bool = True) -> DataFrame:

@@ -86,9 +86,9 @@ def without_members(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The rows of a staged table whose ``on`` does not occur in ``members``."""
-    keys, small = _sized_keys(members, on, None, max_rows, max_bytes)
-    if small:
+    """The rows of a staged table whose ``on`` does not occur in ``members``, staged too."""
+    keys = members.select(on)
+    if fits_broadcast(keys, max_rows, max_bytes):
         return rows.join(F.broadcast(keys), on, "left_anti")
     # Straight from the stored files the row id is stable, and it also spreads copies.
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
@@ -105,7 +105,7 @@ def lookup(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner join of ``rows`` to a staged ``table`` that has one row per ``on``.
+    """Inner join of ``rows`` to a ``table`` that is cheap to read and has one row per ``on``.
 
     NULL matches NULL. ``weight`` is the column of ``table`` with the number of
     rows each key has; it is dropped from the result.

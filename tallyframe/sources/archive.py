@@ -57,9 +57,10 @@ class MemberGroup(InputPartition):
 
 
 class ArchiveReader(DataSourceReader):
-    def __init__(self, path: str, group_bytes: int):
+    def __init__(self, path: str, group_bytes: int, headers_only: bool):
         self.path = path
         self.group_bytes = group_bytes
+        self.headers_only = headers_only
 
     def partitions(self) -> list[InputPartition]:
         groups = []
@@ -106,6 +107,8 @@ class ArchiveReader(DataSourceReader):
                         if not line:
                             continue
                         lines.append(line)
+                        if self.headers_only:
+                            break
                         if len(lines) == BATCH_LINES:
                             yield batch(member, first, lines)
                             first, lines = first + len(lines), []
@@ -125,13 +128,16 @@ class PrecinctArchive(DataSource):
         path = self.options.get("path")
         if not path:
             raise ValueError("precinct_zip needs a path")
-        return ArchiveReader(path, int(self.options.get("groupBytes", GROUP_BYTES)))
+        group_bytes = int(self.options.get("groupBytes", GROUP_BYTES))
+        headers_only = self.options.get("headersOnly", "false").lower() == "true"
+        return ArchiveReader(path, group_bytes, headers_only)
 
 
-def read_archive_members(spark: SparkSession, path: str, **options: int) -> DataFrame:
+def read_archive_members(spark: SparkSession, path: str, **options: int | bool) -> DataFrame:
     """Non-blank lines of the wanted members of one archive, or of a folder of archives.
 
-    ``line_no`` counts from 0, the header line.
+    ``line_no`` counts from 0, the header line. Options are ``groupBytes``, the
+    uncompressed size of the members per task, and ``headersOnly``.
     """
     spark.dataSource.register(PrecinctArchive)
     return spark.read.format("precinct_zip").options(**options).load(path)

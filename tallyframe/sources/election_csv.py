@@ -34,14 +34,20 @@ class Ingested(NamedTuple):
 
 
 def _field_count(line: Column) -> Column:
-    return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ","))
+    bare = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
 
 
-def _fields(line: Column, width: int) -> Column:
-    """The first ``width`` fields of a CSV line, as an array."""
-    names = [f"c{i}" for i in range(width)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), CSV_OPTIONS)
-    return F.array(*(parsed[n] for n in names))
+def _with_fields(df: DataFrame, line: str, width: int, name: str) -> DataFrame:
+    """Add the first ``width`` fields of a CSV line as an array.
+
+    The parsed struct is a column of its own, so that a line is parsed once and
+    not once per field.
+    """
+    columns = [f"c{i}" for i in range(width)]
+    parsed = F.from_csv(line, ", ".join(f"{c} string" for c in columns), CSV_OPTIONS)
+    df = df.withColumn("_parsed", parsed)
+    return df.withColumn(name, F.array(*(F.col("_parsed")[c] for c in columns))).drop("_parsed")
 
 
 def _from_path(file: Column, level: int) -> Column:
@@ -53,14 +59,13 @@ def _from_path(file: Column, level: int) -> Column:
 def _layouts(headers: DataFrame) -> tuple[DataFrame, int]:
     """Per file its folders and where its header has the wanted columns.
 
-    ``headers`` is staged and has ``file``, ``header`` and ``weight``. Positions
-    count from 1, and 0 stands for an absent column. Also returns the number of
-    fields of the widest header.
+    Positions count from 1, and 0 stands for an absent column. Also returns the
+    number of fields of the widest header.
     """
     width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
-    text = F.regexp_replace("header", "^\ufeff", "")
-    names = F.slice(_fields(text, width), 1, _field_count(text))
-    layout = headers.select("file", "header", "weight", names.alias("_names"))
+    text = headers.withColumn("_text", F.regexp_replace("header", "^\ufeff", ""))
+    layout = _with_fields(text, "_text", width, "_fields").withColumn(
+        "_names", F.slice("_fields", 1, _field_count(F.col("_text"))))
     return layout.select(
         "file", "header", "weight",
         _from_path(F.col("file"), 2).alias("state"),
@@ -74,27 +79,31 @@ def _layouts(headers: DataFrame) -> tuple[DataFrame, int]:
 
 def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool = True,
                   **join_limits: int) -> Ingested:
-    """Parse ``(file, line)`` rows with the staged ``headers`` into the fixed columns.
+    """Parse ``(file, line)`` rows into the fixed columns.
 
+    ``headers`` is a staged table of ``file``, ``header`` and ``weight``, the size
+    of the file.
     An absent text column is ``''`` and an absent vote count is 0; a blank text
     field is ``''`` and a blank vote count NULL. Line breaks inside quotes are not
     supported. With ``header_in_lines`` one line equal to the header is dropped
     per file.
     """
     layouts, width = _layouts(headers)
-    layouts = stage(layouts, "layouts")
     joined = lookup(lines.select("file", "line").filter(F.col("line") != ""), layouts, "file",
                     "weight", **join_limits)
-    parsed = joined.withColumn("_f", _fields(F.col("line"), width))
+    parsed = _with_fields(joined, "line", width, "_f")
 
     def field(name: str) -> Column:
         place = F.col(f"_at_{name}")
         return F.when(place > 0, F.try_element_at("_f", place))
 
-    number = F.trim(F.coalesce(field(VOTES), F.lit("")))
+    number = F.col("_number")
     blank = number.isin(*NULL_SPELLINGS)
     exact = number.try_cast("decimal(38,6)")
-    whole = F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+    whole = F.col("_whole")
+    parsed = parsed.withColumn("_number", F.trim(F.coalesce(field(VOTES), F.lit(""))))
+    parsed = parsed.withColumn("_whole", F.coalesce(
+        number.try_cast("bigint"), F.when(exact == F.floor(exact), exact.try_cast("bigint"))))
     problem = (
         F.when(F.col("_repeats"), F.lit("repeated column"))
         .when(_field_count(F.col("line")) != F.col("_width"), F.lit("field count"))
@@ -152,7 +161,7 @@ def ingest_election_csvs(spark: SparkSession, root: str, **join_limits: int) ->
 def ingest_election_archive(spark: SparkSession, path: str, **join_limits: int) -> Ingested:
     """The same for zip archives, without extracting them."""
     lines = read_archive_members(spark, path)
-    headers = lines.filter(F.col("line_no") == 0).select(
+    headers = read_archive_members(spark, path, headersOnly=True).select(
         "file", F.col("line").alias("header"), F.col("file_bytes").alias("weight"))
     return conform_lines(lines.filter(F.col("line_no") > 0), stage(headers, "headers"),
                          header_in_lines=False, **join_limits)
