@@ -33,7 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    return _as_placements(table(spark, sf_dir, "events"))
+
+
+def placements_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
+    return _as_placements(stream.parquet(sf_dir))
+
+
+def _as_placements(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     form = F.col("event_id") % 3
     color = (

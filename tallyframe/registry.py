@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe import fixtures
@@ -22,6 +22,7 @@ from tallyframe.sources import (
     read_archive_members,
     with_state,
 )
+from tallyframe.streaming import append_to_table, hourly_counts_stream, read_placements_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -561,20 +562,62 @@ def battleground_comparison(spark, sf_dir):
 # Ingest. Each query writes the derived table in the raw format first, then reads it.
 
 
-@_query(f"""
+_TYPED_SQL = f"""
 WITH {_PLACEMENTS}
 SELECT ts, CAST(user_id AS VARCHAR) AS user_id, pixel_color, coordinate,
        CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date
-FROM placements""")
-def ingest_placements_csv(spark, sf_dir):
+FROM placements"""
+
+
+def _placements_csv(spark: SparkSession, sf_dir: str) -> str:
     raw = new_staging_path(spark, "placements-csv")
     fixtures.write_placements_csv(fixtures.placements(spark, sf_dir), raw)
-    rows = ingest_placements(spark, raw, new_staging_path(spark, "placements"))
-    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))
-    return rows.select(utc.alias("ts"), "user_id", "pixel_color", "coordinate",
+    return raw
+
+
+def _utc(ts: str) -> Column:
+    """Wall time in UTC of an instant, which the test tables use."""
+    wall = F.col(ts).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall).alias(ts)
+
+
+def _instant(ts: str) -> Column:
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(ts)).cast("timestamp")
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    return rows.select(_utc("ts"), "user_id", "pixel_color", "coordinate",
                        F.col("event_date").cast("string").alias("event_date"))
 
 
+@_query(_TYPED_SQL)
+def ingest_placements_csv(spark, sf_dir):
+    raw = _placements_csv(spark, sf_dir)
+    return _typed(ingest_placements(spark, raw, new_staging_path(spark, "placements")))
+
+
+@_query(_TYPED_SQL)
+def ingest_placements_incrementally(spark, sf_dir):
+    stream = read_placements_stream(spark, _placements_csv(spark, sf_dir))
+    table = new_staging_path(spark, "placements")
+    append_to_table(stream, table, new_staging_path(spark, "offsets"),
+                    ["event_date"]).awaitTermination()
+    return _typed(spark.read.parquet(table))
+
+
+@_query(f"""
+WITH {_PLACEMENTS}, {_HOURLY}
+SELECT hour, coordinate, changes FROM hourly
+WHERE hour + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)""")
+def hourly_counts_incrementally(spark, sf_dir):
+    # Watermarks need instants.
+    stream = fixtures.placements_stream(spark, sf_dir).withColumn("ts", _instant("ts"))
+    table = new_staging_path(spark, "hourly")
+    append_to_table(hourly_counts_stream(stream, "coordinate"), table,
+                    new_staging_path(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(table).select(_utc("hour"), "coordinate", "changes")
+
+
 _CSV_ROWS = _ELECTION + """
 SELECT office, precinct,
        CASE WHEN CAST(right(state, 2) AS INTEGER) % 3 = 2 THEN '' ELSE party END AS party,

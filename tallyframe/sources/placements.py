@@ -8,33 +8,36 @@ from pyspark.sql import functions as F
 from tallyframe.functions.nulls import with_values
 from tallyframe.functions.timewin import parse_event_time
 
-# The columns of the CSV that are kept besides the timestamp.
-PLACEMENT_COLUMNS = ("user_id", "pixel_color", "coordinate")
+# The columns of the CSV, in its order.
+CSV_SCHEMA = "timestamp string, user_id string, pixel_color string, coordinate string"
+KEPT_COLUMNS = ("user_id", "pixel_color", "coordinate")
 
 
-def read_placements_csv(spark: SparkSession, path: str, *, on_bad_time: str = "drop") -> DataFrame:
-    """Placements with a typed ``ts`` and its UTC ``event_date``.
-
-    Columns are taken by header name. A row whose timestamp does not parse is
-    dropped, or stops the job with ``on_bad_time="fail"``. A gzip file is one
-    task, so a large history should come as many files.
-    """
+def typed_placements(raw: DataFrame, *, on_bad_time: str = "drop") -> DataFrame:
+    """Raw text columns with a typed ``ts`` and its UTC ``event_date``."""
     if on_bad_time not in ("drop", "fail"):
         raise ValueError(f"on_bad_time must be 'drop' or 'fail', not {on_bad_time!r}")
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
     text = F.col("timestamp")
     ts = parse_event_time(text)
     if on_bad_time == "fail":
         message = F.concat(F.lit("invalid timestamp: "), F.coalesce(text, F.lit("NULL")))
         ts = F.coalesce(ts, F.raise_error(message).cast("timestamp"))
     rows = raw.select(
-        ts.alias("ts"),
-        *PLACEMENT_COLUMNS,
-        F.to_date(F.substring(text, 1, 10)).alias("event_date"),
-    )
+        ts.alias("ts"), *KEPT_COLUMNS, F.to_date(F.substring(text, 1, 10)).alias("event_date"))
     return rows if on_bad_time == "fail" else with_values(rows, "ts")
 
 
+def read_placements_csv(spark: SparkSession, path: str, *, on_bad_time: str = "drop") -> DataFrame:
+    """Placements with a typed ``ts`` and its UTC ``event_date``.
+
+    Columns are taken by header name. A row whose timestamp does not parse is
+    dropped, or stops the job with ``on_bad_time="fail"``. A gzip file is one
+    task, so a large history should come as many files.
+    """
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    return typed_placements(raw, on_bad_time=on_bad_time)
+
+
 def write_placements(placements: DataFrame, path: str, *, mode: str = "ignore") -> None:
     """Write Parquet by ``event_date``, each file sorted by ``ts``.
 
