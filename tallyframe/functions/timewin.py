@@ -89,5 +89,12 @@ def hour_bucket(ts: str = "ts") -> Column:
 
 
 def gap_seconds(earlier: Column, later: Column) -> Column:
-    """Seconds from ``earlier`` to ``later``, to the microsecond."""
-    return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(1e6)
+    """Seconds from ``earlier`` to ``later``, to the microsecond.
+
+    Taken from the interval, since ``timestamp_diff`` reads a wall time in the
+    session time zone, where a day may have 23 hours.
+    """
+    gap = later - earlier
+    parts = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60}
+    whole = sum((F.extract(F.lit(unit), gap) * size for unit, size in parts.items()), F.lit(0))
+    return whole + F.extract(F.lit("SECOND"), gap).cast("double")

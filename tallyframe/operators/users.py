@@ -45,8 +45,9 @@ def sessions(events: DataFrame, start: Bound = None, end: Bound = None, *,
     cells = rows.groupBy(F.col(user), cell.alias("_cell")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_n"))
     in_order = Window.partitionBy(user).orderBy("_cell")
-    wait = gap_seconds(F.lag("_last").over(in_order), F.col("_first"))
-    opens = F.when(wait > gap_seconds_max, 1).otherwise(0)
+    wait = F.col("_first") - F.lag("_last").over(in_order)
+    longest = F.make_dt_interval(secs=F.lit(gap_seconds_max))
+    opens = F.when(wait > longest, 1).otherwise(0)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = (
         cells.withColumn("_opens", opens)

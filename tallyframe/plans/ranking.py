@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyframe.plans.staging import stage
 
-# Up to this k a top-k is one TakeOrderedAndProject, whose last step is one task.
-TAKE_ROWS = 100_000
+# Up to this k a top-k is one TakeOrderedAndProject, whose last step, one task,
+# gets k rows of each partition.
+TAKE_ROWS = 10_000
 
 _IN_PARTITION = 33  # bits that monotonically_increasing_id keeps for the row
 

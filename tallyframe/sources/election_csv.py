@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.plans.joins import lookup, without_members
@@ -115,18 +115,16 @@ def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool
         .when(~blank, whole).alias(VOTES),
         "state", "year", "file",
         (F.col("line") == F.col("header")).alias("_is_header"),
+        F.monotonically_increasing_id().alias("_line"),
         problem.alias("problem"),
     ), "conformed")
 
     body = staged
     if header_in_lines:
-        copies = Window.partitionBy("file").orderBy("_is_header")
-        extra = (
-            staged.filter("_is_header")
-            .withColumn("_copy", F.row_number().over(copies))
-            .filter("_copy > 1").drop("_copy")
-        )
-        body = staged.filter("not _is_header").unionByName(extra)
+        like_header = staged.filter("_is_header")
+        heads = like_header.groupBy("file").agg(F.min("_line").alias("_line")).select("_line")
+        copies = like_header.join(heads, "_line", "left_anti")
+        body = staged.filter("not _is_header").unionByName(copies)
     bad = body.filter(F.col("problem").isNotNull())
     skipped = stage(bad.groupBy("file").agg(F.min("problem").alias("problem"),
                                             F.count("*").alias("lines")), "skipped")

@@ -85,6 +85,17 @@ def test_hour_and_gap_ignore_the_session_zone(spark, events, zone, kind):
     assert (row.into, row.gap) == (1800.0, 0.25)
 
 
+def test_gap_over_a_clock_change(spark, events):
+    df = events(("2022-03-12 23:59:59.5",)).withColumn(
+        "later", F.lit("2022-03-14 01:00:00.25").cast("timestamp_ntz"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap = df.select(gap_seconds(F.col("ts"), F.col("later")), gap_seconds(F.col("later"), F.col("ts")))
+        assert tuple(gap.first()) == (90_000.75, -90_000.75)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_normalized_strips_spaces_not_tabs(spark):
     df = spark.createDataFrame([("  #FFF ",), ("\t#FFF",)], "c string")
     assert [r[0] for r in df.select(normalized("c")).collect()] == ["#fff", "\t#fff"]
