@@ -65,7 +65,8 @@ def suspicious_users(events: DataFrame, users: DataFrame | None = None, *,
     if users is None:
         stats = _most_active(events, top_percent, user, ts, take_rows)
     else:
-        stats = user_activity(events, user=user, ts=ts).join(users.select(user), user, "left_semi")
+        stats = user_activity(events, user=user, ts=ts).join(
+            users.select(user).distinct(), user, "left_semi")
     gaps = F.col("pixel_placements") - 1
     mean = gap_seconds(F.col("first_ts"), F.col("last_ts")) / gaps
     return (

@@ -35,6 +35,11 @@ TREATED, CONTROL = ("00", "01", "02"), ("03", "04", "05")
 PRE_YEAR, POST_YEAR = 1996, 2000
 BATTLEGROUND = ("00", "05", "10", "15", "20")
 
+WRITES_ITS_INPUT = (
+    "ingest_placements_csv", "ingest_placements_incrementally", "ingest_election_tree",
+    "archive_member_lines", "ingest_election_archives",
+)
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 

@@ -13,6 +13,7 @@ from tallyframe.sources.placements import (
     write_placements,
 )
 from tallyframe.sources.population import STATE_ABBREVIATIONS, load_population, with_state
+from tallyframe.sources.tables import read_results, write_results, write_table
 
 __all__ = [
     "STATE_ABBREVIATIONS",
@@ -25,7 +26,10 @@ __all__ = [
     "load_population",
     "read_archive_members",
     "read_placements_csv",
+    "read_results",
     "with_state",
     "write_members",
     "write_placements",
+    "write_results",
+    "write_table",
 ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.nulls import with_values
 from tallyframe.functions.timewin import parse_event_time
+from tallyframe.sources.tables import write_table
 
 # The columns of the CSV, in its order.
 CSV_SCHEMA = "timestamp string, user_id string, pixel_color string, coordinate string"
@@ -39,19 +40,8 @@ def read_placements_csv(spark: SparkSession, path: str, *, on_bad_time: str = "d
 
 
 def write_placements(placements: DataFrame, path: str, *, mode: str = "ignore") -> None:
-    """Write Parquet by ``event_date``, each file sorted by ``ts``.
-
-    The rebalance hint lets adaptive execution split a date that holds much of
-    the data and merge small ones. ``mode="ignore"`` keeps an existing table.
-    """
-    (
-        placements.hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "ts")
-        .write.mode(mode)
-        .option("compression", "snappy")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+    """Parquet by ``event_date``, each file sorted by ``ts``."""
+    write_table(placements, path, ("event_date",), sort_by=("ts",), mode=mode)
 
 
 def ingest_placements(spark: SparkSession, csv_path: str, table_path: str, *,

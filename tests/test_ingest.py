@@ -10,9 +10,13 @@ from tallyframe.sources import (
     ingest_placements,
     read_archive_members,
     read_placements_csv,
+    read_results,
     write_members,
+    write_placements,
+    write_results,
 )
 from tallyframe.sources.archive import member_of_interest
+from tallyframe.sources.tables import RESULTS_SCHEMA
 
 
 @pytest.fixture
@@ -57,6 +61,38 @@ def test_columns_are_taken_by_name(spark, tmp_path):
     assert (row.user_id, row.pixel_color, row.coordinate) == ("u", "#FFF", "1,2")
 
 
+def test_a_hot_date_is_split(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50k")
+    try:
+        df = spark.range(60_000).select(
+            F.timestamp_seconds(1_650_000_000 + F.col("id")).alias("ts"),
+            F.concat(F.lit("user"), F.xxhash64("id").cast("string")).alias("user_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("2022-04-01")).otherwise(
+                F.concat(F.lit("2022-04-1"), (F.col("id") % 9).cast("string")))
+            .cast("date").alias("event_date"))
+        write_placements(df, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 60_000
+    files = [f for f in stored.inputFiles() if "event_date=2022-04-01" in f]
+    assert len(files) > 1
+    one = [r.ts for r in spark.read.parquet(files[0]).collect()]
+    assert one == sorted(one)
+
+
+def test_results_keep_their_types(spark, tmp_path):
+    path = str(tmp_path / "results")
+    rows = [("00", "P", "2012", "President", 5, "Other"), ("al", "P", "n/a", "Governor", 7, "Green")]
+    df = spark.createDataFrame(rows, RESULTS_SCHEMA)
+    write_results(df, path)
+    write_results(df.limit(0), path)
+    stored = read_results(spark, path)
+    assert sorted(map(tuple, stored.collect())) == rows
+    assert stored.schema == df.schema
+
+
 FILES = {
     "openelections-data-al/2012/a.csv":
         "county,precinct,office,party,candidate,votes\n"
