@@ -63,7 +63,8 @@ def election(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
     joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        # Orders grow with the lines, so the two are shuffled at any size.
+        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     )

@@ -12,6 +12,7 @@ from tallyframe.functions.text import normalized
 from tallyframe.functions.timewin import hour_bucket, time_window
 from tallyframe.plans.joins import count_members
 from tallyframe.plans.ranking import first_rows
+from tallyframe.plans.staging import stage
 
 Bound = str | datetime | None
 
@@ -96,28 +97,24 @@ def histogram(values: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> Dat
     """Equal-width bins from the least to the greatest integer of ``column``.
 
     Every bin is returned, empty ones too; the last one includes its right edge.
-    A single distinct value is put in the middle of a range of width one.
+    A single distinct value is put in the middle of a range of width one. The
+    tally of equal values is staged; its least and greatest pass the driver.
     """
-    tally = with_values(values, column).groupBy(column).agg(F.count("*").alias("_n"))
-    bounds = tally.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
-    lo = tally.agg(F.min(column)).scalar()
-    span = tally.agg(F.max(column) - F.min(column)).scalar()
-    # Integer division places a value on a bin edge exactly.
-    place = F.when(span == 0, F.lit(bins // 2)).otherwise(
-        F.least(F.call_function("div", (F.col(column) - lo) * bins, F.nullif(span, F.lit(0))),
-                F.lit(bins - 1)))
+    tally = stage(with_values(values, column).groupBy(column).agg(F.count("*").alias("_n")), "tally")
+    lo, hi = tally.agg(F.min(column), F.max(column)).first()
+    if lo == hi:
+        place, left, width = F.lit(bins // 2), (lo or 0) - 0.5, 1.0
+    else:
+        # Integer division places a value on a bin edge exactly.
+        scaled = F.call_function("div", (F.col(column) - lo) * bins, F.lit(hi - lo))
+        place, left, width = F.least(scaled, F.lit(bins - 1)), float(lo), float(hi - lo)
     filled = tally.groupBy(place.cast("int").alias("bin")).agg(F.sum("_n").alias("n"))
-    flat = F.col("_lo") == F.col("_hi")
-    left = F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo").cast("double"))
-    width = F.when(flat, F.lit(1.0)).otherwise((F.col("_hi") - F.col("_lo")).cast("double"))
-    axis = bounds.filter(F.col("_lo").isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-        left.alias("_left"), width.alias("_width"))
-    edge = lambda i: F.col("_left") + F.col("_width") * i / bins
+    axis = values.sparkSession.range(0 if lo is None else bins)
+    axis = axis.select(F.col("id").cast("int").alias("bin"))
     return (
         axis.join(F.broadcast(filled), "bin", "left")
-        .select("bin", edge(F.col("bin")).alias("bin_start"),
-                edge(F.col("bin") + 1).alias("bin_end"),
+        .select("bin", (F.lit(left) + F.lit(width) * F.col("bin") / bins).alias("bin_start"),
+                (F.lit(left) + F.lit(width) * (F.col("bin") + 1) / bins).alias("bin_end"),
                 F.coalesce("n", F.lit(0)).alias("n"))
         .orderBy("bin")
     )

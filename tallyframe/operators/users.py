@@ -12,7 +12,6 @@ from tallyframe.functions.nulls import with_values
 from tallyframe.functions.timewin import gap_seconds, time_window
 from tallyframe.plans.joins import lookup
 from tallyframe.plans.ranking import with_row_index
-from tallyframe.plans.staging import stage
 
 Bound = str | datetime | None
 
@@ -107,7 +106,7 @@ def encode_user_ids(events: DataFrame, *, user: str = "user_id", ts: str = "ts",
     """
     users = events.groupBy(user).agg(F.min(ts).alias("_first"), F.count("*").alias("_events"))
     order = [F.asc_nulls_last("_first"), F.asc_nulls_last(user)]
-    mapping = stage(with_row_index(users, order, "dense_id"), "user-ids")
+    mapping = with_row_index(users, order, "dense_id")
     encoded = lookup(events, mapping.drop("_first"), user, "_events", **join_limits)
     others = [c for c in events.columns if c != user]
     return (
