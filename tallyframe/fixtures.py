@@ -37,8 +37,9 @@ def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def placements_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
-    return _as_placements(stream.parquet(sf_dir))
+    stream = spark.readStream.schema(SCHEMAS["events"])
+    # As a pattern, the path may be a file or a folder of files.
+    return _as_placements(stream.parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def _as_placements(events: DataFrame) -> DataFrame:

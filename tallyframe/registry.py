@@ -19,6 +19,7 @@ from tallyframe.sources import (
     ingest_election_archive,
     ingest_election_csvs,
     ingest_placements,
+    load_population as read_population,
     read_archive_members,
     with_state,
 )
@@ -91,15 +92,18 @@ election AS (
 )"""
 
 _CLEANED = _ELECTION + """,
+spellings(spelling, canonical) AS (
+  VALUES ('r', 'Republican'), ('rep', 'Republican'), ('republican', 'Republican'),
+         ('d', 'Democratic'), ('dem', 'Democratic'), ('democrat', 'Democratic'),
+         ('democratic', 'Democratic'), ('lib', 'Libertarian'), ('l', 'Libertarian'),
+         ('green', 'Green'), ('g', 'Green')
+),
 cleaned AS (
-  SELECT DISTINCT right(trim(state), 2) AS state, precinct, year, office, votes,
-         CASE WHEN lower(trim(party)) IN ('r', 'rep', 'republican') THEN 'Republican'
-              WHEN lower(trim(party)) IN ('d', 'dem', 'democrat', 'democratic') THEN 'Democratic'
-              WHEN lower(trim(party)) IN ('lib', 'l') THEN 'Libertarian'
-              WHEN lower(trim(party)) IN ('green', 'g') THEN 'Green'
-              ELSE 'Other' END AS party
-  FROM (SELECT DISTINCT * FROM election
-        WHERE votes >= 0 AND lower(trim(precinct)) NOT LIKE '%total%')
+  SELECT right(trim(state), 2) AS state, precinct, year, office, votes,
+         coalesce(canonical, 'Other') AS party
+  FROM election LEFT JOIN spellings ON spelling = lower(trim(party))
+  WHERE votes >= 0 AND NOT contains(lower(precinct), 'total')
+  GROUP BY ALL
 )"""
 
 _POPULATION = """
@@ -431,18 +435,20 @@ def profile_top_values(spark, sf_dir):
         non_blank=("precinct", "party"))
 
 
-@_query(f"WITH {_ELECTION}" + " UNION ALL ".join(
-    f"\nSELECT '{c}' AS column_name, count(*) AS missing_count FROM election WHERE {c} IS NULL"
-    for c in ("office", "precinct", "party", "votes", "state", "year")))
+@_query(f"""
+WITH {_ELECTION},
+missing AS (SELECT count(*) - count(COLUMNS(*)) FROM election),
+named(office, precinct, party, votes, state, year) AS (FROM missing)
+UNPIVOT named ON COLUMNS(*) INTO NAME column_name VALUE missing_count""")
 def profile_missing(spark, sf_dir):
     return ops.profile_missing(fixtures.election(spark, sf_dir))
 
 
 @_query(f"""
 WITH {_ELECTION}
-SELECT count(*) AS duplicate_count
-FROM (SELECT count(*) OVER (PARTITION BY office, precinct, party, votes, state, year) AS copies
-      FROM election)
+SELECT CAST(coalesce(sum(copies), 0) AS BIGINT) AS duplicate_count
+FROM (SELECT office, precinct, party, votes, state, year, count(*) AS copies
+      FROM election GROUP BY ALL)
 WHERE copies > 1""")
 def profile_duplicates(spark, sf_dir):
     return ops.profile_duplicates(fixtures.election(spark, sf_dir))
@@ -476,7 +482,9 @@ WITH {_POPULATION}
 SELECT name AS "NAME", people AS "POPESTIMATE1996", people AS "POPESTIMATE2000", state
 FROM population""")
 def load_population(spark, sf_dir):
-    return _population(spark, sf_dir)
+    path = new_staging_path(spark, "population-csv")
+    fixtures.population(spark, sf_dir).write.csv(path, header=True)
+    return read_population(spark, path, fixtures.NATION_STATES)
 
 
 _TURNOUT = _CLEANED + f""",
@@ -486,8 +494,8 @@ yearly AS (
 ),
 turnout AS (
   SELECT state,
-         avg(CASE WHEN year = '{PRE_YEAR}' THEN total END) AS pre_turnout,
-         avg(CASE WHEN year = '{POST_YEAR}' THEN total END) AS post_turnout
+         avg(total) FILTER (WHERE year = '{PRE_YEAR}') AS pre_turnout,
+         avg(total) FILTER (WHERE year = '{POST_YEAR}') AS post_turnout
   FROM yearly GROUP BY state
 )"""
 
@@ -508,8 +516,8 @@ def turnout_pre_post(spark, sf_dir):
 
 @_query(f"""
 WITH {_TURNOUT}
-SELECT round(avg(CASE WHEN state <= '02' THEN post_turnout - pre_turnout END)
-             - avg(CASE WHEN state > '02' THEN post_turnout - pre_turnout END), 6) AS did_effect
+SELECT round(avg(post_turnout - pre_turnout) FILTER (WHERE state <= '02')
+             - avg(post_turnout - pre_turnout) FILTER (WHERE state > '02'), 6) AS did_effect
 FROM turnout""")
 def did_effect(spark, sf_dir):
     return _rounded(ops.did_effect(_turnout(spark, sf_dir), TREATED, CONTROL))
@@ -555,10 +563,8 @@ def turnout_rate(spark, sf_dir):
 
 @_query(f"""
 WITH {_RATES}
-SELECT round(avg(CASE WHEN state IN ('00', '05', '10', '15', '20') THEN rate END), 6)
-         AS battleground_mean,
-       round(avg(CASE WHEN state NOT IN ('00', '05', '10', '15', '20') THEN rate END), 6)
-         AS non_battleground_mean
+SELECT round(avg(rate) FILTER (WHERE CAST(state AS INTEGER) % 5 = 0), 6) AS battleground_mean,
+       round(avg(rate) FILTER (WHERE CAST(state AS INTEGER) % 5 <> 0), 6) AS non_battleground_mean
 FROM rates""")
 def battleground_comparison(spark, sf_dir):
     return _rounded(ops.battleground_comparison(_rates(spark, sf_dir), BATTLEGROUND))

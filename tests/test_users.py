@@ -115,3 +115,12 @@ def test_encoding_of_no_rows(spark):
     df = spark.createDataFrame([], "ts timestamp, user_id string")
     encoded, mapping = ops.encode_user_ids(df)
     assert (encoded.count(), mapping.count()) == (0, 0)
+
+
+def test_sketches_are_close(spark, medium):
+    df = placements(spark, medium)
+    exact = {r.pixel_color: r.distinct_users for r in ops.rank_by_distinct_users(df).collect()}
+    for r in ops.rank_by_distinct_users(df, approximate=True).collect():
+        assert abs(r.distinct_users - exact[r.pixel_color]) <= 0.15 * exact[r.pixel_color]
+    whole, sketch = (ops.placement_percentiles(df, approximate=a).first() for a in (False, True))
+    assert all(abs(a - b) <= 2 for a, b in zip(whole, sketch))
