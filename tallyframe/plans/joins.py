@@ -82,17 +82,19 @@ def without_members(
     rows: DataFrame,
     members: DataFrame,
     on: str,
+    row_id: str,
     *,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The rows of a staged table whose ``on`` does not occur in ``members``, staged too."""
+    """The rows whose ``on`` does not occur in ``members``, which is staged.
+
+    ``row_id`` is a stored number that differs between rows, copies included.
+    """
     keys = members.select(on)
     if fits_broadcast(keys, max_rows, max_bytes):
         return rows.join(F.broadcast(keys), on, "left_anti")
-    # Straight from the stored files the row id is stable, and it also spreads copies.
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
-    spread = rows.withColumn("_salt", salt)
+    spread = rows.withColumn("_salt", F.pmod(F.col(row_id), F.lit(SALTS)))
     return spread.join(_per_salt(keys), [on, "_salt"], "left_anti").drop("_salt")
 
 

@@ -82,8 +82,7 @@ def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool
     """Parse ``(file, line)`` rows into the fixed columns.
 
     ``headers`` is a staged table of ``file``, ``header`` and ``weight``, the size
-    of the file.
-    An absent text column is ``''`` and an absent vote count is 0; a blank text
+    of the file. An absent text column is ``''`` and an absent vote count is 0; a blank text
     field is ``''`` and a blank vote count NULL. Line breaks inside quotes are not
     supported. With ``header_in_lines`` one line equal to the header is dropped
     per file.
@@ -128,7 +127,7 @@ def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool
     bad = body.filter(F.col("problem").isNotNull())
     skipped = stage(bad.groupBy("file").agg(F.min("problem").alias("problem"),
                                             F.count("*").alias("lines")), "skipped")
-    rows = without_members(body, skipped, "file", **join_limits)
+    rows = without_members(body, skipped, "file", "_line", **join_limits)
     return Ingested(rows.select(*TEXT_COLUMNS, VOTES, "state", "year"), skipped)
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallyframe import operators as ops
 from tallyframe.fixtures import election
-from tallyframe.sources import STATE_ABBREVIATIONS, load_population
+from tallyframe.sources import STATE_ABBREVIATIONS, load_population, read_results, write_results
 
 RAW = "office string, precinct string, party string, votes bigint, state string, year string"
 CLEAN = "state string, year string, office string, votes bigint"
@@ -141,3 +141,18 @@ def test_population_csv(spark, tmp_path):
     path.write_text("STATE,POP\n1,2\n")
     with pytest.raises(ValueError):
         load_population(spark, str(path))
+
+
+def test_year_prunes_partitions(spark, medium, tmp_path, plan):
+    path = str(tmp_path / "results")
+    write_results(ops.clean_results(election(spark, medium)), path)
+    results = read_results(spark, path)
+    pop = spark.createDataFrame([(f"{i:02d}", 1000.0) for i in range(25)],
+                                "state string, POPESTIMATE2000 double")
+    rates = ops.turnout_rate(results, pop, 2000)
+    assert rates.count() == 25
+    text = plan(rates)
+    assert "PartitionFilters: [isnotnull(year" in text
+    assert "EqualTo(office,President)" in text
+    # Mean and deviation reuse the votes per state.
+    assert "ReusedExchange" in text
