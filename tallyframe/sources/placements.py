@@ -31,11 +31,12 @@ def typed_placements(raw: DataFrame, *, on_bad_time: str = "drop") -> DataFrame:
 def read_placements_csv(spark: SparkSession, path: str, *, on_bad_time: str = "drop") -> DataFrame:
     """Placements with a typed ``ts`` and its UTC ``event_date``.
 
-    Columns are taken by header name. A row whose timestamp does not parse is
+    Columns are taken by header name; files with another header than the first one
+    stop the job. A row whose timestamp does not parse is
     dropped, or stops the job with ``on_bad_time="fail"``. A gzip file is one
     task, so a large history should come as many files.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.options(header=True, enforceSchema=False, escape='"').csv(path)
     return typed_placements(raw, on_bad_time=on_bad_time)
 
 

@@ -61,6 +61,15 @@ def test_columns_are_taken_by_name(spark, tmp_path):
     assert (row.user_id, row.pixel_color, row.coordinate) == ("u", "#FFF", "1,2")
 
 
+def test_files_of_other_order_stop_the_job(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('timestamp,user_id,pixel_color,coordinate\n'
+                                    '2022-04-04 00:53:51 UTC,u,#FFF,"1,2"\n')
+    (tmp_path / "b.csv").write_text('user_id,timestamp,pixel_color,coordinate\n'
+                                    'u,2022-04-04 00:53:51 UTC,#FFF,"1,2"\n')
+    with pytest.raises(Exception, match="header"):
+        read_placements_csv(spark, str(tmp_path)).collect()
+
+
 def test_a_hot_date_is_split(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50k")
