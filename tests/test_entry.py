@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from check_oracle import rows_of
+from tallyframe import registry
 from tallyframe.plans.staging import staging_root
 
-QUERIES = spark_entry.queries()
-ORACLE = spark_entry.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLE = registry.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def con(small):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= spark_entry.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
