@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm import compression, mixing, packing
 from tallyframe.llm.common import table
 from tallyframe.llm.exact_dedup import exact_dedup
+from tallyframe.llm.ngram_join import ngram_join
 from tallyframe.plans.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("norm", 256).alias("text_sha256"))
 
 
+@_query()
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 QUALITY_CUT = 0.3
 
 
