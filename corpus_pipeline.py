@@ -1,10 +1,72 @@
-"""A corpus from raw documents to packed sequences, one operator of ``tallyframe.llm`` a stage."""
+"""A corpus from raw documents to packed sequences, one operator of ``tallyframe.llm`` a stage.
+
+Every stage gets the documents that its predecessor kept, with all their columns, and
+works on all of them; its decisions take effect. The last stage returns the pieces.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyframe.llm import compression, mixing, packing
+from tallyframe.llm.common import table
+from tallyframe.llm.exact_dedup import exact_dedup
+from tallyframe.llm.ngram_join import ngram_join
+from tallyframe.llm.registry import QUALITY_CUT, quality_model
+from tallyframe.plans.joins import fits_broadcast
+from tallyframe.plans.staging import stage
+
+# A near duplicate shares four fifths of its five-word shingles.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score reaches the cut."""
+    model = quality_model(spark, docs, sf_dir)
+    return docs.filter(compression.score(model, F.col("text")) >= QUALITY_CUT)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row that stays."""
+    return exact_dedup(docs).filter("kept").select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group; documents without an identifier stay."""
+    joined = ngram_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
+    copies = stage(joined.filter("component_id != doc_id").select("doc_id").distinct(), "copies")
+    if fits_broadcast(copies):
+        copies = F.broadcast(copies)
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.repeated(docs, mixing.mix_sources(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in the sequences."""
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(stage(pieces, "pieces"))
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+# Compression, set similarity and tokens are beyond SQL: the tests use brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
