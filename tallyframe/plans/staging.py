@@ -39,3 +39,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Staged tables that go when their block ends.
+
+    For tables that a result no longer reads: ``with Scratch(spark) as scratch`` stages
+    with ``scratch.stage``, and what is to live on is staged by ``stage`` before the end.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        path = new_staging_path(self._spark, label)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *error: object) -> None:
+        conf = self._spark._jsc.hadoopConfiguration()
+        for path in self._paths:
+            folder = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+        self._paths.clear()
