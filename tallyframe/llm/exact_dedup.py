@@ -69,9 +69,10 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
         salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_salts")))
         coded = coded.withColumn("_salt", F.coalesce(salt, F.lit(0)))
     else:
-        coded = coded.withColumn("_salts", F.lit(None).cast("int")).withColumn("_salt", F.lit(0))
+        coded = coded.withColumn("_salts", F.lit(None).cast("int"))
 
-    range_key = ["_head", "_h", "_salt"]
+    # Only columns that the window has too, or it would shuffle again: no constant salt.
+    range_key = ["_head", "_h", "_salt"] if hot else ["_head", "_h"]
     better = [F.col("_size").desc(), F.col("_id").asc_nulls_last()]
     dealt = (
         coded.repartitionByRange(ranges, *range_key)

@@ -130,7 +130,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM n WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
 """)
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    compared = exact_dedup(table(spark, sf_dir, "documents"))
+    compared = exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return compared.select(
         F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.sha2("norm", 256).alias("text_sha256"))
