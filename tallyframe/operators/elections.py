@@ -50,13 +50,17 @@ def turnout_pre_post(results: DataFrame, treated: Sequence[str], control: Sequen
     rows = results.filter(F.col("state").isin(*treated, *control))
     if office is not None:
         rows = rows.filter(F.col("office") == office)
-    per_year = rows.groupBy("state", "year").agg(F.sum("votes").alias("_votes"))
+    # Reads no data column of a table by state and year.
+    states = rows.select("state").distinct()
+    asked = rows.filter(_year().isin(pre_year, post_year))
+    per_year = asked.groupBy("state", "year").agg(F.sum("votes").alias("_votes"))
 
     def in_year(year: int) -> Column:
         return F.avg(F.when(_year() == year, F.col("_votes")))
 
     per_state = per_year.groupBy("state").agg(
         in_year(pre_year).alias("pre_turnout"), in_year(post_year).alias("post_turnout"))
+    per_state = states.join(per_state, "state", "left")
     return per_state.withColumn("turnout_change", F.col("post_turnout") - F.col("pre_turnout"))
 
 

@@ -21,9 +21,16 @@ from tallyframe.sources import (
     ingest_placements,
     load_population as read_population,
     read_archive_members,
+    read_results,
     with_state,
+    write_results,
+)
+from tallyframe.streaming import (
+    append_to_table,
+    count_hours_in_batches,
+    read_hour_counts,
+    read_placements_stream,
 )
-from tallyframe.streaming import append_to_table, hourly_counts_stream, read_placements_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -415,10 +422,31 @@ SELECT column_name,
        total_rows, CAST(0 AS BIGINT) AS missing_count
 FROM (DESCRIBE SELECT 'o' AS office, 'p' AS precinct, 'p' AS party, CAST(1 AS BIGINT) AS votes,
              's' AS state, 'y' AS year), size""")
-def profile_schema(spark, sf_dir):
+def profile_columns(spark, sf_dir):
     return ops.profile_columns(fixtures.election(spark, sf_dir))
 
 
+@_query("""
+SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS column_type
+FROM (DESCRIBE SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders)""")
+def profile_schema(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").drop("o_orderdate")
+    return ops.profile_schema(orders).select("column_name", "column_type")
+
+
+_ROUND_TRIP = f"""
+WITH {_CLEANED} SELECT state, precinct, year, office, votes, party FROM cleaned"""
+
+
+@_query(_ROUND_TRIP)
+def write_and_read_results(spark, sf_dir):
+    """Cleaned results by state and year; the second call finds the table finished."""
+    path = new_staging_path(spark, "results")
+    write_results(_cleaned(spark, sf_dir), path)
+    write_results(_cleaned(spark, sf_dir).limit(0), path)
+    return read_results(spark, path)
+
+
 @_query(f"WITH {_CLEANED} SELECT count(*) AS total_rows FROM cleaned")
 def profile_row_count(spark, sf_dir):
     return ops.profile_row_count(_cleaned(spark, sf_dir))
@@ -618,15 +646,12 @@ def ingest_placements_incrementally(spark, sf_dir):
 
 @_query(f"""
 WITH {_PLACEMENTS}, {_HOURLY}
-SELECT hour, coordinate, changes FROM hourly
-WHERE hour + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)""")
+SELECT hour, coordinate, changes FROM hourly""")
 def hourly_counts_incrementally(spark, sf_dir):
-    # Watermarks need instants.
     stream = fixtures.placements_stream(spark, sf_dir).withColumn("ts", _instant("ts"))
     table = new_staging_path(spark, "hourly")
-    append_to_table(hourly_counts_stream(stream, "coordinate"), table,
-                    new_staging_path(spark, "offsets")).awaitTermination()
-    return spark.read.parquet(table).select(_utc("hour"), "coordinate", "changes")
+    count_hours_in_batches(stream, "coordinate", table, new_staging_path(spark, "offsets")).awaitTermination()
+    return read_hour_counts(spark, table, "coordinate").select(_utc("hour"), "coordinate", "changes")
 
 
 _CSV_ROWS = _ELECTION + """

@@ -7,6 +7,7 @@ layout or a vote count does not fit is left out as a whole and reported.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,41 +57,48 @@ def _from_path(file: Column, level: int) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1 - level), "^[^=]*=", "")
 
 
-def _layouts(headers: DataFrame) -> tuple[DataFrame, int]:
+def _layouts(headers: DataFrame) -> tuple[DataFrame, list[int]]:
     """Per file its folders and where its header has the wanted columns.
 
-    Positions count from 1, and 0 stands for an absent column. Also returns the
-    number of fields of the widest header.
+    Positions count from 1, and 0 stands for an absent column. ``_parse`` is the number of
+    fields that a line must be parsed into for them, as a power of two; its values are
+    returned too.
     """
     width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
     text = headers.withColumn("_text", F.regexp_replace("header", "^\ufeff", ""))
     layout = _with_fields(text, "_text", width, "_fields").withColumn(
         "_names", F.slice("_fields", 1, _field_count(F.col("_text"))))
-    return layout.select(
-        "file", "header", "weight",
-        _from_path(F.col("file"), 2).alias("state"),
-        _from_path(F.col("file"), 1).alias("year"),
+    places = [F.array_position("_names", c).cast("int") for c in (*TEXT_COLUMNS, VOTES)]
+    power = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(*places, F.lit(1))))).cast("int")
+    layout = layout.select(
+        "file", "header", "weight", "state", "year", power.alias("_parse"),
         F.size("_names").alias("_width"),
         (F.size(F.array_distinct("_names")) < F.size("_names")).alias("_repeats"),
-        *(F.array_position("_names", c).cast("int").alias(f"_at_{c}")
-          for c in (*TEXT_COLUMNS, VOTES)),
-    ), width
+        *(place.alias(f"_at_{c}") for c, place in zip((*TEXT_COLUMNS, VOTES), places, strict=True)),
+    )
+    layout = stage(layout, "layouts")
+    # As many values as the widest header has powers of two.
+    return layout, [r["_parse"] for r in layout.select("_parse").distinct().collect()]
 
 
 def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool = True,
                   **join_limits: int) -> Ingested:
     """Parse ``(file, line)`` rows into the fixed columns.
 
-    ``headers`` is a staged table of ``file``, ``header`` and ``weight``, the size
-    of the file. An absent text column is ``''`` and an absent vote count is 0; a blank text
+    ``headers`` is a staged table of ``file``, ``header``, ``state``, ``year`` and ``weight``,
+    the size of the file. A line is parsed as far as the last wanted column of its file. An absent text column is ``''`` and an absent vote count is 0; a blank text
     field is ``''`` and a blank vote count NULL. Line breaks inside quotes are not
     supported. With ``header_in_lines`` one line equal to the header is dropped
     per file.
     """
-    layouts, width = _layouts(headers)
-    joined = lookup(lines.select("file", "line").filter(F.col("line") != ""), layouts, "file",
-                    "weight", **join_limits)
-    parsed = _with_fields(joined, "line", width, "_f")
+    layouts, widths = _layouts(headers)
+    lines = lines.select("file", "line").filter(F.col("line") != "")
+    parts = []
+    for width in widths or [1]:
+        # Only the lines of these files are joined.
+        alike = layouts.filter(F.col("_parse") == width)
+        parts.append(_with_fields(lookup(lines, alike, "file", "weight", **join_limits), "line", width, "_f"))
+    parsed = reduce(DataFrame.unionByName, parts)
 
     def field(name: str) -> Column:
         place = F.col(f"_at_{name}")
@@ -152,6 +160,7 @@ def ingest_election_csvs(spark: SparkSession, root: str, **join_limits: int) ->
     starts = lines.filter((F.col("block_start") == 0) & (F.col("line") != ""))
     headers = starts.withColumn("_at", F.monotonically_increasing_id()).groupBy("file").agg(
         F.min_by("line", "_at").alias("header"), F.max("file_bytes").alias("weight"))
+    headers = headers.withColumns({"state": _from_path(F.col("file"), 2), "year": _from_path(F.col("file"), 1)})
     return conform_lines(lines, stage(headers, "headers"), **join_limits)
 
 
@@ -159,6 +168,6 @@ def ingest_election_archive(spark: SparkSession, path: str, **join_limits: int)
     """The same for zip archives, without extracting them."""
     lines = read_archive_members(spark, path)
     headers = read_archive_members(spark, path, headersOnly=True).select(
-        "file", F.col("line").alias("header"), F.col("file_bytes").alias("weight"))
+        "file", F.col("line").alias("header"), F.col("file_bytes").alias("weight"), "state", "year")
     return conform_lines(lines.filter(F.col("line_no") > 0), stage(headers, "headers"),
                          header_in_lines=False, **join_limits)

@@ -70,7 +70,7 @@ def with_state(population: DataFrame, names: Mapping[str, str] = STATE_ABBREVIAT
                name: str = "NAME") -> DataFrame:
     """Add ``state`` from the state's name and drop the rows of unknown names."""
     known = F.create_map(*map(F.lit, chain.from_iterable(names.items())))
-    state = F.try_element_at(known, normalized(F.col(name)))
+    state = F.try_element_at(known, normalized(F.regexp_replace(name, r"^\s+|\s+$", "")))
     return with_values(population.withColumn("state", state), "state")
 
 

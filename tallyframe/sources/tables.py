@@ -12,17 +12,31 @@ RESULTS_SCHEMA = (
 )
 
 
+def _is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end; a folder that holds an unfinished one is an error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return False
+    if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+        raise FileExistsError(f"{path} holds an unfinished table: remove it or write with mode='overwrite'")
+    return True
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str], *,
                 sort_by: Sequence[str] = (), mode: str = "ignore") -> None:
     """Write Parquet by ``partition_by``, each file sorted by ``sort_by``.
 
     The rebalance hint lets adaptive execution split a partition that holds much
-    of the data and merge small ones. ``mode="ignore"`` keeps an existing table.
+    of the data and merge small ones. ``mode="ignore"`` keeps a finished table, which
+    its ``_SUCCESS`` file tells; a folder without one stops the call.
     """
+    if mode == "ignore" and _is_finished(df.sparkSession, path):
+        return
     (
         df.hint("rebalance", *partition_by)
         .sortWithinPartitions(*partition_by, *sort_by)
-        .write.mode(mode)
+        .write.mode("errorifexists" if mode == "ignore" else mode)
         .option("compression", "snappy")
         .partitionBy(*partition_by)
         .parquet(path)

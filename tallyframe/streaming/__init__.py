@@ -2,8 +2,9 @@
 
 from tallyframe.streaming.placements import (
     append_to_table,
-    hourly_counts_stream,
+    count_hours_in_batches,
+    read_hour_counts,
     read_placements_stream,
 )
 
-__all__ = ["append_to_table", "hourly_counts_stream", "read_placements_stream"]
+__all__ = ["append_to_table", "count_hours_in_batches", "read_hour_counts", "read_placements_stream"]

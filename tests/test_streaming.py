@@ -1,8 +1,11 @@
 import pytest
-from pyspark.sql import functions as F
-
 from tallyframe import operators as ops
-from tallyframe.streaming import append_to_table, hourly_counts_stream, read_placements_stream
+from tallyframe.streaming import (
+    append_to_table,
+    count_hours_in_batches,
+    read_hour_counts,
+    read_placements_stream,
+)
 
 HEADER = "timestamp,user_id,pixel_color,coordinate\n"
 
@@ -40,18 +43,18 @@ def test_wrong_header_stops(spark, tmp_path):
         query.awaitTermination()
 
 
-def test_stream_counts_equal_batch_counts(spark, tmp_path):
+def test_late_files_and_open_hours_count(spark, tmp_path):
     folder, table, offsets = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "offsets")
     rows = [(f"2022-04-01 0{h}:{m:02d}:00", "u", c, "1,2")
             for h in range(6) for m, c in enumerate(["#FFF", " #fff ", "#000"] * (h + 1))]
-    for h in range(6):
+    # The last hours come first.
+    for h in (5, 0, 3, 1, 4, 2):
         write(folder, f"{h}.csv", [r for r in rows if r[0][12] == str(h)])
         stream = read_placements_stream(spark, str(folder))
-        append_to_table(hourly_counts_stream(stream, "pixel_color", delay="30 minutes"), table,
-                        offsets).awaitTermination()
+        count_hours_in_batches(stream, "pixel_color", table, offsets).awaitTermination()
     from tallyframe.sources import read_placements_csv
 
     batch = ops.hourly_counts(read_placements_csv(spark, str(folder)), "pixel_color")
-    closed = batch.filter(F.col("hour") < "2022-04-01 04:00:00")
-    got = spark.read.parquet(table)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, closed.collect()))
+    got = read_hour_counts(spark, table, "pixel_color")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+    assert spark.read.parquet(table).select("batch_id").distinct().count() == 6
