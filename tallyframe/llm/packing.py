@@ -10,12 +10,14 @@ their length and take the places of that length in the patterns by that number.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -27,56 +29,65 @@ from tallyframe.plans.staging import stage
 
 SEQUENCE = 2048
 END_ID = 1
-# Words whose ids a Python worker remembers; with more it starts anew.
-MEMO_WORDS = 400_000
+# Words whose ids a Python worker remembers, about 100 MB.
+MEMO_WORDS = 500_000
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
+# A stop or comma right after a letter or digit, before white space: always a token of its own.
+_MARK = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|\Z)")
+
+
 class WordTokens:
     """Token ids of texts as little-endian bytes, remembered by word.
 
-    For tokenisers that never join characters across a blank or line feed, as those that
-    split words first. What a word gives always comes from the tokeniser itself.
+    For tokenisers that lower-case, and split words and marks first, never across white space.
+    What a word gives always comes from the tokeniser itself. Texts beyond Latin-1, whose lower
+    case may depend on context, and texts that may hold a special token go to it whole.
     """
 
     def __init__(self, tokenizer: str, limit: int = MEMO_WORDS) -> None:
         self._tokenizer = Tokenizer.from_str(tokenizer)
-        self._known: dict[str, bytes] = {}
-        self._cores: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {"": b""}
         self._limit = limit
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[:4 * len(e.ids)]
-                if e.ids else b"" for e in found]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn(self, words: set[str]) -> None:
-        """Words of plain letters, in either case and before a stop or comma, share one entry."""
-        if len(self._known) + len(words) > self._limit:
-            self._known = {}
-        if len(self._cores) > self._limit:
-            self._cores = {}
-        plain: dict[str, tuple[str, str]] = {}
-        odd = []
-        for word in words:
-            core, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-            if core.isalpha() and max(core) < "ƀ":
-                plain[word] = (core.lower(), mark)
+        plain = [w for w in words if w.isalpha()]
+        for low in range(0, len(plain), 2000):
+            some = plain[low:low + 2000]
+            # A word of letters is one run, which ends where a token does.
+            ids = self._ids(" ".join(some))
+            ends = 4 * (np.flatnonzero(self._ends[ids]) + 1)
+            if len(ends) == len(some):
+                data, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+                self._known.update(
+                    (w, data[i:j]) for w, i, j in zip(some, starts, ends.tolist(), strict=True))
             else:
-                odd.append(word)
-        new = list({core for core, _ in plain.values()}.union((".", ",")).difference(self._cores))
-        self._cores.update(zip(new, self._encode(new), strict=True))
-        self._cores[""] = b""
-        for word, (core, mark) in plain.items():
-            self._known[word] = self._cores[core] + self._cores[mark]
-        self._known.update(zip(odd, self._encode(odd), strict=True))
+                self._known.update((w, self._ids(w).tobytes()) for w in some)
+        self._known.update((w, self._ids(w).tobytes()) for w in words if w and not w.isalpha())
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if missing := set(words).difference(self._known):
-            # A clearing must not lose what this text needs and is not missing.
-            self._learn(set(words) if len(self._known) + len(missing) > self._limit else missing)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._ids(text).tobytes()
+        if "<|" in text:
+            return self._ids(text).tobytes()
+        words = _MARK.sub(r" \1", text.lower()).replace("\n", " ").split(" ")
+        distinct = set(words)
+        if distinct.difference(self._known):
+            if len(self._known) + len(distinct) > self._limit:
+                # The older half goes, but for words of this text.
+                self._known = {"": b"", **{w: self._known[w] for w in distinct if w in self._known},
+                               **dict(list(self._known.items())[len(self._known) // 2:])}
+            self._learn(distinct.difference(self._known))
         return b"".join(map(self._known.__getitem__, words))
 
 
