@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.plans.staging import stage
+from tallyframe.plans.staging import Scratch, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,34 +18,32 @@ def components(links: DataFrame) -> DataFrame:
     joins are inner or left joins that Spark splits where a key is hot. Every round is
     written, so it survives lost executors. No links give no rows.
     """
-    both = links.select("a", "b").filter("a != b")
-    both = stage(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-                 "links")
-    labels = stage(
-        both.groupBy("a").agg(F.min("b").alias("label"))
-        .select(F.col("a").alias("node"), F.least("a", "label").alias("component")), "labels")
-    while True:
-        near = (
-            both.join(labels, both["b"] == labels["node"])
-            .groupBy("a").agg(F.min("component").alias("least"))
-        )
-        seen = (
-            labels.join(near, labels["node"] == near["a"])
-            .select("node", "component", F.least("component", "least").alias("least"))
-        )
-        seen = stage(seen, "seen")
-        given = (
-            seen.select("node", "least")
-            .unionByName(seen.select(F.col("component").alias("node"), "least"))
-            .groupBy("node").agg(F.min("least").alias("least"))
-        )
-        given = stage(given, "given")
-        via = given.select(F.col("node").alias("_via"), F.col("least").alias("_next"))
-        jumped = (
-            given.join(via, F.col("least") == F.col("_via"), "left")
-            .select("node", F.least("least", F.coalesce("_next", "least")).alias("component"))
-        )
-        before = labels.withColumnRenamed("component", "_before")
-        labels = stage(jumped, "labels")
-        if labels.join(before, "node").filter("component != _before").isEmpty():
-            return labels
+    spark = links.sparkSession
+    with Scratch(spark) as scratch:
+        both = links.select("a", "b").filter("a != b")
+        both = scratch.stage(
+            both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+        labels = scratch.stage(
+            both.groupBy("a").agg(F.min("b").alias("label"))
+            .select(F.col("a").alias("node"), F.least("a", "label").alias("component")), "labels")
+        while True:
+            near = (
+                both.join(labels, both["b"] == labels["node"])
+                .groupBy("a").agg(F.min("component").alias("least"))
+            )
+            seen = scratch.stage(
+                labels.join(near, labels["node"] == near["a"])
+                .select("node", "component", F.least("component", "least").alias("least")), "seen")
+            given = scratch.stage(
+                seen.select("node", "least")
+                .unionByName(seen.select(F.col("component").alias("node"), "least"))
+                .groupBy("node").agg(F.min("least").alias("least")), "given")
+            via = given.select(F.col("node").alias("_via"), F.col("least").alias("_next"))
+            jumped = (
+                given.join(via, F.col("least") == F.col("_via"), "left")
+                .select("node", F.least("least", F.coalesce("_next", "least")).alias("component"))
+            )
+            before = labels.withColumnRenamed("component", "_before")
+            labels = scratch.stage(jumped, "labels")
+            if labels.join(before, "node").filter("component != _before").isEmpty():
+                return stage(labels, "components")

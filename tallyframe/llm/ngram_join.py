@@ -7,15 +7,15 @@ similar sets must share, are its entries in an inverted index.
 
 The join works in three rounds that skip by relations between sets:
 
-1. Lists of the first few entries name a leader for each similar group. Every member is
-   compared with its leader only. These links make the first components.
+1. Lists of the first few entries name leaders, and every member is compared with one
+   leader that its sketch does not rule out. These links make the first components.
 2. An index list whose entries all lie in one component is skipped. The lists that are
    left are cut into blocks by set size, and inside a block a pair is skipped by its
    positions, by its sizes, by a parity sketch of its sets, or by the answers of a leader
    that both were compared with: the overlap of B with X is at most the overlap of the
-   leader with X plus what B has beyond the leader. Of the pairs between two components
-   the closest is compared.
-3. The pairs whose components are still apart are all compared.
+   leader with X plus what B has beyond the leader.
+3. Of the pairs that are left, every component compares its closest one, some times over;
+   the pairs whose components are then still apart are all compared.
 
 So all links that matter for the components are found without listing the pairs of a
 group of similar texts. Every comparison is of the whole sets.
@@ -34,19 +34,23 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import whole_text
 from tallyframe.llm.components import components
 from tallyframe.plans.joins import fits_broadcast
-from tallyframe.plans.staging import stage
+from tallyframe.plans.staging import Scratch, stage
 
 # N-grams counted at a time in a task; those in LOCAL documents of them are reported.
-COUNTED = 4_000_000
+COUNTED = 1_000_000
 LOCAL = 8
 # Frequent n-grams whose counts steer the order; 16 bytes each go to every task. Any
 # order gives the same links, so this bounds a table and drops nothing.
 FREQUENT = 1 << 20
-LEADER_ENTRIES = 3
+LEADER_ENTRIES = 12
+LEADER_PART = 100_000  # entries of a list under one leader
 SKETCH_BITS = 1024
 MEMBERS = 256  # compared with one set in one go
 BLOCK = 1024  # entries of a block of an index list
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 100_000
+LEADER_ROUNDS = 2
+CLOSEST_ROUNDS = 3
+PAIRS = 1 << 21  # of a block that are looked at in one go
 
 _U = np.uint64
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -141,18 +145,32 @@ def _ordered_prefix(found: np.ndarray, size: int, grams: np.ndarray, counts: np.
     return np.concatenate([rare, rest[np.lexsort((rest, n))][:size - len(rare)]])
 
 
-def _sketch(found: np.ndarray) -> bytes:
+def _sketch(found: np.ndarray, size: int = SKETCH_BITS) -> bytes:
     """Bit ``i`` is the parity of the n-grams that fall on it: two sets differ in at least
     as many n-grams as their sketches do in bits."""
-    bits = np.bincount((found % _U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    bits = np.bincount((found % _U(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def _wide_sketch(found: np.ndarray) -> bytes | None:
+    """A sketch of at least two bits an n-gram for a set that fills the common size."""
+    if len(found) <= SKETCH_BITS:
+        return None
+    return _sketch(found, 1 << int(2 * len(found) - 1).bit_length())
+
+
+def _wide_differing(a: bytes, b: bytes) -> int:
+    """Differing bits of two wide sketches; halves of the larger one are added up to the smaller's size."""
+    x, y = sorted((np.frombuffer(v, np.uint8) for v in (a, b)), key=len)
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets(docs: DataFrame, words: int, percent: int, grams: np.ndarray, counts: np.ndarray) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = _shingles(words)
         for batch in batches:
-            n, high, low, prefix, sketch = [], [], [], [], []
+            n, high, low, prefix, sketch, wide = [], [], [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py())
                 digest = xxhash.xxh3_128_intdigest(found.tobytes())
@@ -162,14 +180,16 @@ def _sets(docs: DataFrame, words: int, percent: int, grams: np.ndarray, counts:
                 first = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
                 prefix.append(_ordered_prefix(found, first, grams, counts).view("int64"))
                 sketch.append(_sketch(found))
+                wide.append(_wide_sketch(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(high, pa.int64()),
                  pa.array(low, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
-                 pa.array(sketch, pa.binary())],
-                ["doc_id", "n", "high", "low", "prefix", "sketch"])
+                 pa.array(sketch, pa.binary()), pa.array(wide, pa.binary())],
+                ["doc_id", "n", "high", "low", "prefix", "sketch", "wide"])
 
     return docs.mapInArrow(
-        made, "doc_id long, n long, high long, low long, prefix array<long>, sketch binary")
+        made, "doc_id long, n long, high long, low long, prefix array<long>, "
+        "sketch binary, wide binary")
 
 
 def _needed(n_a, n_b, percent: int):
@@ -181,7 +201,7 @@ def _sizes_fit(n_a: Column, n_b: Column, percent: int) -> Column:
     return (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a)
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+def _compared(scratch: Scratch, pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """``a``, ``b``, ``n_a``, ``n_b``, ``shared`` for stored pairs of identifiers, by whole sets.
 
     The text of ``b`` goes to a group of ``a``, and that of ``a`` to each of its groups,
@@ -194,7 +214,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     to_a = groups.select(
         F.col("a").alias("doc_id"), F.col("a").alias("key"),
         F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("part"), F.lit(0).alias("role"))
-    sends = stage(to_b.unionByName(to_a), "sends")
+    sends = scratch.stage(to_b.unionByName(to_a), "sends")
     if fits_broadcast(sends):
         sends = F.broadcast(sends)
     dealt = (
@@ -233,34 +253,47 @@ def _linked(percent: int) -> Column:
 
 
 def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a leader and a member that share one of their first entries."""
-    first = classes.select(
-        "id", "n", "sketch", F.explode(F.slice("prefix", 1, LEADER_ENTRIES)).alias("gram"))
-    leaders = (
-        first.groupBy("gram")
-        .agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "sketch")).alias("leader"),
-             F.count("*").alias("_n"))
-        .filter("_n > 1").select("gram", "leader")
-    )
-    pairs = (
-        first.join(leaders, "gram").filter("id != leader.id")
-        .filter(_sizes_fit(F.col("n"), F.col("leader.n"), percent))
-        .select(F.col("leader.id").alias("a"), F.col("id").alias("b"), F.col("leader.n").alias("n_a"),
-                F.col("n").alias("n_b"), F.col("leader.sketch").alias("s_a"), F.col("sketch").alias("s_b"))
-        .dropDuplicates(["a", "b"])
+    """Pairs of a leader and a member that may link, for the first entries of every member.
+
+    The leader of a list is drawn by a hash of list and identifier, so a similar group has
+    several. A long list has a leader in each part. At most ``LEADER_ENTRIES`` pairs a member.
+    """
+    first = classes.select("id", F.explode(F.slice("prefix", 1, LEADER_ENTRIES)).alias("gram"))
+    several = first.groupBy("gram").agg(F.count("*").alias("_n")).filter("_n > 1")
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("_n") / LEADER_PART))
+    dealt = (
+        first.join(several, "gram").select("gram", part.alias("part"), "id")
+        .join(classes.select("id", "n", "sketch"), "id")
+        .withColumn("_place", F.xxhash64("gram", "id"))
+        .repartition("gram", "part").sortWithinPartitions("gram", "part", "_place", "id")
+        .select("gram", "part", "id", "n", "sketch")
     )
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, leader = None, None  # of the last row before a batch
         for batch in batches:
             if not len(batch):
                 continue
-            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            apart = _differing(_bits(batch.column(4)), _bits(batch.column(5)))
-            keep = apart <= n - 2 * _needed(n, 0, percent)
+            gram, part, ids, n = (batch.column(i).to_numpy() for i in range(4))
+            bits = _bits(batch.column(4))
+            starts = np.empty(len(batch), bool)
+            starts[0] = group != (gram[0], part[0])
+            starts[1:] = (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])
+            at = np.maximum.accumulate(np.where(starts, np.arange(len(batch)), -1))
+            known = (ids[at], n[at], bits[at])
+            if at[0] < 0:
+                known = tuple(
+                    np.where((at < 0).reshape(-1, *[1] * (k.ndim - 1)), value, k)
+                    for k, value in zip(known, leader, strict=True))
+            group, leader = (gram[-1], part[-1]), tuple(k[-1] for k in known)
+            total = n + known[1]
+            near = (ids != known[0]) & (100 * np.minimum(n, known[1]) >= percent * np.maximum(n, known[1]))
+            apart = _differing(bits, known[2])
+            near &= apart <= total - 2 * _needed(total, 0, percent)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(keep)) for i in (0, 1)], ["a", "b"])
+                [pa.array(known[0][near]), pa.array(ids[near]), pa.array(apart[near])], ["a", "b", "apart"])
 
-    return pairs.mapInArrow(near, "a long, b long")
+    return dealt.mapInArrow(led, "a long, b long, apart long").dropDuplicates(["a", "b"])
 
 
 def _bits(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -271,7 +304,7 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def _cross_pairs(classes: DataFrame, percent: int) -> DataFrame:
+def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of an index list whose components differ and that nothing known rules out.
 
     ``classes`` has the component of each class, its leader and the overlap with it.
@@ -280,18 +313,17 @@ def _cross_pairs(classes: DataFrame, percent: int) -> DataFrame:
     step = float(np.log(100 / percent)) * (1 + 1e-9)
     entries = classes.select(
         "id", "n", "component", F.posexplode("prefix").alias("pos", "gram"))
-    mixed = (
+    mixed = scratch.stage(
         entries.groupBy("gram")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        .filter("_low != _high").select("gram")
-    )
+        .filter("_low != _high").select("gram"), "mixed")
+    if fits_broadcast(mixed):
+        mixed = F.broadcast(mixed)
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
-    cells = (
+    cells = scratch.stage(
         entries.join(mixed, "gram")
         .withColumn("own", own)
-        .withColumn("cell", F.explode(F.array("own", F.col("own") + 1)))
-    )
-    cells = stage(cells, "cells")
+        .withColumn("cell", F.explode(F.array("own", F.col("own") + 1))), "cells")
     sized = (
         cells.groupBy("gram", "cell")
         .agg(F.count("*").alias("_n"), F.min("component").alias("_low"),
@@ -300,7 +332,7 @@ def _cross_pairs(classes: DataFrame, percent: int) -> DataFrame:
         .filter("_n > 1 and _low != _high and _own = cell")
         .select("gram", "cell", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
     )
-    about = classes.select("id", "sketch", "leader", "shared", "n_leader")
+    about = classes.select("id", "sketch", "leader", "shared")
     block = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("_blocks") - 1)
     dealt = (
@@ -311,66 +343,151 @@ def _cross_pairs(classes: DataFrame, percent: int) -> DataFrame:
         .join(about, "id")
         .repartition("gram", "cell", "_i", "_j").sortWithinPartitions("gram", "cell", "_i", "_j")
         .select("gram", "cell", "_i", "_j", "_block", "id", "n", "component", "pos", "own",
-                "leader", "shared", "n_leader", "sketch")
+                F.coalesce("leader", F.lit(-1).cast("long")).alias("leader"),
+                F.coalesce("shared", F.lit(0).cast("long")).alias("shared"),
+                F.col("leader").isNotNull().alias("led"), "sketch")
     )
-
-    def pairs_of(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        group = pa.Table.from_batches(rows).combine_chunks()
-        get = lambda name: group[name].to_numpy()
-        n, pos, comp, own, ids, blocks = (get(c) for c in ("n", "pos", "component", "own", "id", "_block"))
-        leader, shared, n_leader = (group[c].fill_null(-1).to_numpy() for c in ("leader", "shared", "n_leader"))
-        bits = _bits(group["sketch"])
-        cell, i, j = group["cell"][0].as_py(), group["_i"][0].as_py(), group["_j"][0].as_py()
-        a_out, b_out, apart_out = [], [], []
-        for x in range(len(n)):
-            y = slice(x + 1, None)
-            keep = comp[y] != comp[x]
-            # One entry at least of the cell itself, and each pair of blocks once.
-            keep &= (own[y] == cell) | (own[x] == cell)
-            if i != j:
-                keep &= blocks[y] != blocks[x]
-            need = _needed(n[y], n[x], percent)
-            keep &= np.minimum(pos[y], pos[x]) + np.minimum(n[y] - pos[y], n[x] - pos[x]) >= need
-            if leader[x] >= 0:
-                # What both share is at most what one shares with the leader plus what
-                # the other has beyond the leader.
-                most = np.minimum(shared[x] + n[y] - shared[y], shared[y] + n[x] - shared[x])
-                keep &= (leader[y] != leader[x]) | (most >= need)
-            at = np.flatnonzero(keep)
-            if not len(at):
-                continue
-            at = at[100 * np.minimum(n[y][at], n[x]) >= percent * np.maximum(n[y][at], n[x])]
-            apart = _differing(bits[y][at], bits[x])
-            near = apart <= n[y][at] + n[x] - 2 * need[at]
-            a_out.append(np.minimum(ids[y][at][near], ids[x]))
-            b_out.append(np.maximum(ids[y][at][near], ids[x]))
-            apart_out.append(apart[near])
-        empty = [np.empty(0, np.int64)]
+    names = dealt.columns[:-1]
+
+    def judged(rows: dict[str, np.ndarray], bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        n, pos, ids = rows["n"], rows["pos"], rows["id"]
+        keep = rows["component"][x] != rows["component"][y]
+        # One entry at least of the cell itself, and each pair of blocks once.
+        keep &= (rows["own"][x] == rows["cell"][x]) | (rows["own"][y] == rows["cell"][y])
+        keep &= (rows["_i"][x] == rows["_j"][x]) | (rows["_block"][x] != rows["_block"][y])
+        x, y = x[keep], y[keep]
+        small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        need = _needed(n[x], n[y], percent)
+        # What two sets can share before and after their places.
+        keep = (100 * small >= percent * large) & (
+            np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need)
+        # What both share is at most what one shares with the leader plus what the other
+        # has beyond the leader.
+        shared = rows["shared"]
+        most = np.minimum(shared[x] + n[y] - shared[y], shared[y] + n[x] - shared[x])
+        same = rows["led"][x] & rows["led"][y] & (rows["leader"][x] == rows["leader"][y])
+        keep &= ~same | (most >= need)
+        x, y, need = x[keep], y[keep], need[keep]
+        apart = _differing(bits[x], bits[y])
+        keep = apart <= n[x] + n[y] - 2 * need
+        a, b = ids[x[keep]], ids[y[keep]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(v or empty)) for v in (a_out, b_out, apart_out)], ["a", "b", "apart"])
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(apart[keep])], ["a", "b", "apart"])
+
+    def pairs_of(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs within each group; groups of one size are looked at together."""
+        rows = {name: table[name].to_numpy() for name in names}
+        bits = _bits(table["sketch"])
+        sizes = np.diff(np.append(starts, len(table)))
+        for size in np.unique(sizes[sizes > 1]):
+            firsts = starts[sizes == size]
+            x, y = np.triu_indices(size, 1)
+            at_once = max(1, PAIRS // len(x))
+            for low in range(0, len(firsts), at_once):
+                some = firsts[low:low + at_once, None]
+                yield judged(rows, bits, (some + x).ravel(), (some + y).ravel())
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
+        held: list[pa.RecordBatch] = []  # the last group, which may go on
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            keys = np.stack([table[k].to_numpy() for k in ("gram", "cell", "_i", "_j")])
+            starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+            held.clear()
+            if not last:
+                held.extend(table.slice(starts[-1]).to_batches())
+                table, starts = table.slice(0, starts[-1]), starts[:-1]
+            if len(table):
+                yield from pairs_of(table, starts)
+
         for batch in batches:
-            if not len(batch):
-                continue
-            keys = np.stack([batch.column(k).to_numpy() for k in range(4)])
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1), len(batch)]
-            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-                key = tuple(keys[:, low])
-                if key != last and held:
-                    yield pairs_of(held)
-                    held = []
-                last = key
-                held.append(batch.slice(low, high - low))
+            if len(batch):
+                held.append(batch)
+                yield from flush(last=False)
         if held:
-            yield pairs_of(held)
+            yield from flush(last=True)
 
     found = dealt.mapInArrow(pairs, "a long, b long, apart long")
     return found.filter("a != b").groupBy("a", "b").agg(F.min("apart").alias("apart"))
 
 
+def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wide sketches of long sets leave; ``sets`` has those."""
+    for side in ("a", "b"):
+        pairs = pairs.join(
+            sets.filter("wide is not null")
+            .select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("wide").alias(f"w_{side}")),
+            side, "left")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [
+                a is None or b is None or _wide_differing(a, b) <= n_a + n_b - 2 * _needed(n_a, n_b, percent)
+                for n_a, n_b, a, b in zip(*(batch.column(i).to_pylist() for i in range(3, 7)), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in range(3)], ["a", "b", "apart"])
+
+    return pairs.select("a", "b", "apart", "n_a", "n_b", "w_a", "w_b").mapInArrow(
+        near, "a long, b long, apart long")
+
+
+def _linked_classes(scratch: Scratch, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node`` and ``component`` of all classes that link with another."""
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        return scratch.stage(_compared(scratch, pairs, docs, words), "compared")
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        """Pairs whose components differ now, with these components."""
+        for side in ("a", "b"):
+            pairs = pairs.join(
+                labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}")), side, "left"
+            ).withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
+        return pairs.filter("c_a != c_b")
+
+    # Members take the leader that comes first by a hash for all lists, so a group agrees on
+    # few; those that this does not link take the closest that is left, some times over.
+    stars = scratch.stage(_star_pairs(classes, percent), "stars")
+    first = F.min(F.struct(F.xxhash64("a").alias("place"), "a")).alias("_led")
+    led = compared(scratch.stage(stars.groupBy("b").agg(first).select("_led.a", "b"), "led"))
+    links = led.filter(_linked(percent)).select("a", "b")
+    labels = components(links)
+    tried = led.select("a", "b")
+    for _ in range(LEADER_ROUNDS):
+        stars = scratch.stage(apart(stars).join(tried, ["a", "b"], "left_anti").select("a", "b", "apart"), "stars")
+        closest = F.min(F.struct("apart", "a")).alias("_led")
+        tried = scratch.stage(stars.groupBy("b").agg(closest).select("_led.a", "b"), "tried")
+        if tried.isEmpty():
+            break
+        links = links.unionByName(compared(tried).filter(_linked(percent)).select("a", "b"))
+        labels = components(links)
+    known = scratch.stage(
+        classes.select("id", "n", "prefix", "sketch")
+        .join(labels.withColumnRenamed("node", "id"), "id", "left")
+        .join(led.select(F.col("b").alias("id"), F.col("a").alias("leader"), "shared"), "id", "left")
+        .withColumn("component", F.coalesce("component", "id")), "known")
+    left = _wide_enough(
+        scratch.stage(_cross_pairs(scratch, known, percent), "pairs"), classes.select("id", "n", "wide"), percent)
+    left = scratch.stage(left, "cross")
+    for turn in range(CLOSEST_ROUNDS + 1):
+        left = scratch.stage(apart(left), "left")
+        if left.isEmpty():
+            break
+        tried = left.select("a", "b")
+        if turn < CLOSEST_ROUNDS:
+            sides = left.select("c_a", "apart", "a", "b").unionByName(
+                left.select(F.col("c_b").alias("c_a"), "apart", "a", "b"))
+            tried = scratch.stage(
+                sides.groupBy("c_a").agg(F.min(F.struct("apart", "a", "b")).alias("_pair"))
+                .select("_pair.a", "_pair.b").distinct(), "tried")
+            left = left.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart")
+        links = links.unionByName(compared(tried).filter(_linked(percent)).select("a", "b"))
+        labels = components(links)
+    return labels
+
+
 def ngram_join(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 3,
                percent: int = 90) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``.
@@ -384,57 +501,20 @@ def ngram_join(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
     """
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     grams, counts = _frequent(ids, words)
-    sets = stage(_sets(ids, words, percent, grams, counts), "sets")
-    classes = stage(
-        sets.filter("n > 0 and doc_id is not null").groupBy("high", "low", "n")
-        .agg(F.min(F.struct("doc_id", "prefix", "sketch")).alias("_first"))
-        .select("high", "low", "n", F.col("_first.doc_id").alias("id"), "_first.prefix", "_first.sketch"),
-        "classes")
-
-    stars = stage(_compared(stage(_star_pairs(classes, percent), "stars"), ids, words), "compared")
-    links = stars.filter(_linked(percent)).select("a", "b")
-    labels = components(links)
-
-    # A class takes the closest leader it was compared with for the bounds.
-    led = stars.groupBy(F.col("b").alias("id")).agg(
-        F.max(F.struct("shared", F.col("a").alias("leader"), F.col("n_a").alias("n_leader"))).alias("_led")
-    ).select("id", "_led.shared", "_led.leader", "_led.n_leader")
-    known = (
-        classes.select("id", "n", "prefix", "sketch")
-        .join(labels.withColumnRenamed("node", "id"), "id", "left")
-        .join(led, "id", "left")
-        .withColumn("component", F.coalesce("component", "id"))
-    )
-    cross = stage(_cross_pairs(stage(known, "known"), percent), "cross")
-
-    def apart(pairs: DataFrame, now: DataFrame) -> DataFrame:
-        """Pairs whose components differ, with these components."""
-        for side in ("a", "b"):
-            pairs = pairs.join(
-                now.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}")), side, "left"
-            ).withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-        return pairs.filter("c_a != c_b")
-
-    tried = stage(
-        apart(cross, labels)
-        .groupBy(F.least("c_a", "c_b").alias("_x"), F.greatest("c_a", "c_b").alias("_y"))
-        .agg(F.min(F.struct("apart", "a", "b")).alias("_pair")).select("_pair.a", "_pair.b"), "tried")
-    links = links.unionByName(
-        stage(_compared(tried, ids, words), "compared").filter(_linked(percent)).select("a", "b"))
-    labels = components(links)
-    rest = stage(apart(cross, labels).select("a", "b").join(tried, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        last = stage(_compared(rest, ids, words), "compared").filter(_linked(percent))
-        links = links.unionByName(last.select("a", "b"))
-        labels = components(links)
-
-    in_class = classes.select("high", "low", "n", "id").join(
-        labels.withColumnRenamed("node", "id"), "id", "left"
-    ).select("high", "low", "n", F.coalesce("component", "id").alias("component"))
-    linked = sets.select("doc_id", "n", "high", "low").filter("n > 0 and doc_id is not null")
-    alone = sets.filter("n = 0 or doc_id is null").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.col("doc_id").alias("component_id"))
-    return linked.join(in_class, ["high", "low", "n"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
-    ).unionByName(alone)
+    with Scratch(docs.sparkSession) as scratch:
+        sets = scratch.stage(_sets(ids, words, percent, grams, counts), "sets")
+        has = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+        classes = scratch.stage(
+            sets.filter(has).groupBy("high", "low", "n")
+            .agg(F.min(F.struct("doc_id", "prefix", "sketch", "wide")).alias("_first"))
+            .select("high", "low", "n", F.col("_first.doc_id").alias("id"), "_first.prefix",
+                    "_first.sketch", "_first.wide"),
+            "classes")
+        labels = _linked_classes(scratch, classes, ids, words, percent)
+        in_class = classes.select("high", "low", "n", "id").join(
+            labels.withColumnRenamed("node", "id"), "id", "left"
+        ).select("high", "low", "n", F.coalesce("component", "id").alias("component_id"))
+        linked = sets.filter(has).select("doc_id", "n", "high", "low").join(in_class, ["high", "low", "n"])
+        alone = sets.filter(~has).withColumn("component_id", F.col("doc_id"))
+        columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+        return stage(linked.select(*columns).unionByName(alone.select(*columns)), "joined")
