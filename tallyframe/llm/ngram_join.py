@@ -47,7 +47,6 @@ LEADER_PART = 100_000  # entries of a list under one leader
 SKETCH_BITS = 1024
 MEMBERS = 256  # compared with one set in one go
 BLOCK = 1024  # entries of a block of an index list
-MEMO_WORDS = 100_000
 LEADER_ROUNDS = 2
 CLOSEST_ROUNDS = 3
 PAIRS = 1 << 21  # of a block that are looked at in one go
@@ -63,30 +62,86 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingles:
-    """Distinct n-gram hashes of texts, sorted; words are hashed once and remembered."""
+    """Distinct n-gram hashes of texts, sorted, for many texts at a time.
+
+    Bytes are lower-cased and split by exactly A-Z and the six ASCII spaces. A word is a
+    polynomial of its bytes modulo 2**64, read off running sums; those over ``LONG`` bytes,
+    where such a polynomial is weak, are hashed one by one.
+    """
+
+    LONG = 64
+    TOGETHER = 1 << 20  # bytes
 
     def __init__(self, words: int) -> None:
         self._words = words
-        self._known: dict[bytes, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        # Bytes are lower-cased and split by exactly A-Z and the six ASCII spaces.
-        found = text.encode("utf-8", "surrogatepass").lower().split()
-        if not found:
-            return np.empty(0, _U)
-        missing = set(found).difference(self._known)
-        if missing:
-            if len(self._known) + len(missing) > MEMO_WORDS:
-                self._known = {}
-                missing = set(found)
-            self._known.update((w, xxhash.xxh3_64_intdigest(w)) for w in missing)
-        hashes = np.fromiter(map(self._known.__getitem__, found), _U, len(found))
-        n = min(self._words, len(found))
-        size = len(found) - n + 1
-        total = np.full(size, _U(n))
-        for i in range(n):
-            total = _mixed(total * _U(_MULTIPLIERS[i % 3]) + hashes[i:i + size])
-        return np.unique(total)
+        self._space = np.zeros(256, bool)
+        self._space[list(b"\t\n\v\f\r ")] = True
+        self._byte = _mixed(np.arange(1, 257, dtype=_U) * _U(_MULTIPLIERS[0]))
+        # 5 modulo 8, so its powers differ in all but their lowest bits.
+        base = (_MULTIPLIERS[1] & ~7) | 5
+        count = self.TOGETHER + self.LONG
+        self._power = np.multiply.accumulate(np.append(_U(1), np.full(count, base, _U)))
+        back = pow(base, -1, 1 << 64)
+        self._back = np.multiply.accumulate(np.append(_U(1), np.full(self.TOGETHER, back, _U)))
+        self._place = [_U(pow(_MULTIPLIERS[2] | 5, i + 1, 1 << 64)) for i in range(words)]
+
+    def _hashed(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and first bytes of the words of ``data``."""
+        content = np.frombuffer(data, np.uint8)
+        inside = np.zeros(len(content) + 2, bool)
+        np.logical_not(self._space[content], out=inside[1:-1])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        hashes = np.empty(len(starts), _U)
+        # Words that begin in one stretch of bytes.
+        cuts = np.flatnonzero(np.diff(starts // self.TOGETHER)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(starts)], strict=True):
+            if low == high:
+                continue
+            first = starts[low]
+            begin = starts[low:high] - first
+            end = np.minimum(ends[low:high] - first, begin + self.LONG)
+            sums = np.zeros(end[-1] + 1, _U)
+            np.cumsum(self._byte[content[first:first + end[-1]]] * self._power[:end[-1]], out=sums[1:])
+            hashes[low:high] = _mixed((sums[end] - sums[begin]) * self._back[begin])
+        for i in np.flatnonzero(ends - starts > self.LONG):
+            hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]])
+        return hashes, starts
+
+    def _grams(self, hashes: np.ndarray, words: int) -> np.ndarray:
+        size = len(hashes) - words + 1
+        total = np.zeros(size, _U)
+        for i in range(words):
+            total += hashes[i:i + size] * self._place[i]
+        return _mixed(total)
+
+    def _sets(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        hashes, starts = self._hashed(b" ".join(texts).lower())
+        n = self._words
+        grams = self._grams(hashes, n) if len(hashes) >= n else np.empty(0, _U)
+        # Places of the words of each text.
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        bounds = np.searchsorted(starts, np.append(0, np.cumsum(lengths + 1))).tolist()
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            if high - low >= n:
+                found = np.sort(grams[low:high - n + 1])
+                yield found[np.append(True, found[1:] != found[:-1])]
+            elif high > low:
+                yield self._grams(hashes[low:high], high - low)
+            else:
+                yield np.empty(0, _U)
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        group: list[bytes] = []
+        held = 0
+        for text in texts.cast(pa.binary()):
+            group.append(text.as_py())
+            held += len(group[-1])
+            if held >= self.TOGETHER:
+                yield from self._sets(group)
+                group, held = [], 0
+        if group:
+            yield from self._sets(group)
 
 
 _SHINGLES: dict[int, Shingles] = {}  # of this Python worker, over its tasks
@@ -105,15 +160,16 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
         held = 0
 
         def report() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(sets or [np.empty(0, _U)]), return_counts=True)
-            often = counts >= LOCAL
+            values = np.sort(np.concatenate(sets or [np.empty(0, _U)]))
+            firsts = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else values
+            counts = np.diff(np.append(firsts, len(values)).astype("int64"))
+            values, often = values[firsts.astype("int64")], counts >= LOCAL
             return pa.RecordBatch.from_arrays(
                 [pa.array(values[often].view("int64")), pa.array(counts[often].astype("int64"))],
                 ["gram", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                found = shingles(text.as_py())
+            for found in shingles(batch.column(0)):
                 sets.append(found)
                 held += len(found)
                 if held >= COUNTED:
@@ -136,11 +192,12 @@ def _ordered_prefix(found: np.ndarray, size: int, grams: np.ndarray, counts: np.
     """The first ``size`` of the sorted set, n-grams that are frequent last."""
     if not len(grams):
         return found[:size]
-    at = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
-    often = grams[at] == found
-    rare = found[~often][:size]
-    if len(rare) == size:
-        return rare
+    for some in (found[:2 * size], found):
+        at = np.minimum(np.searchsorted(grams, some), len(grams) - 1)
+        often = grams[at] == some
+        rare = some[~often][:size]
+        if len(rare) == size:
+            return rare
     rest, n = found[often], counts[at[often]]
     return np.concatenate([rare, rest[np.lexsort((rest, n))][:size - len(rare)]])
 
@@ -148,7 +205,7 @@ def _ordered_prefix(found: np.ndarray, size: int, grams: np.ndarray, counts: np.
 def _sketch(found: np.ndarray, size: int = SKETCH_BITS) -> bytes:
     """Bit ``i`` is the parity of the n-grams that fall on it: two sets differ in at least
     as many n-grams as their sketches do in bits."""
-    bits = np.bincount((found % _U(size)).astype(np.int64), minlength=size) & 1
+    bits = np.bincount((found & _U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
@@ -171,8 +228,7 @@ def _sets(docs: DataFrame, words: int, percent: int, grams: np.ndarray, counts:
         shingles = _shingles(words)
         for batch in batches:
             n, high, low, prefix, sketch, wide = [], [], [], [], [], []
-            for text in batch.column(1):
-                found = shingles(text.as_py())
+            for found in shingles(batch.column(1)):
                 digest = xxhash.xxh3_128_intdigest(found.tobytes())
                 n.append(len(found))
                 high.append((digest >> 64) - (1 << 63))
@@ -229,8 +285,7 @@ def _compared(scratch: Scratch, pairs: DataFrame, docs: DataFrame, words: int) -
         for batch in batches:
             out = ([], [], [], [], [])
             columns = [batch.column(i).to_pylist() for i in range(4)]
-            for key, part, role, doc, text in zip(*columns, batch.column(4), strict=True):
-                found = shingles(text.as_py())
+            for key, part, role, doc, found in zip(*columns, shingles(batch.column(4)), strict=True):
                 if (key, part) != group:
                     group, leaders = (key, part), []
                 if role == 0:
