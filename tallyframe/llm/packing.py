@@ -10,16 +10,20 @@ their length and take the places of that length in the patterns by that number.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -29,66 +33,128 @@ from tallyframe.plans.staging import stage
 
 SEQUENCE = 2048
 END_ID = 1
-# Words whose ids a Python worker remembers, about 100 MB.
-MEMO_WORDS = 500_000
+# Longest run of letters or marks that goes to the quick encoder, whose work on one run
+# grows with the square of its length.
+LONGEST_RUN = 200
+# Characters of a text that are encoded at a time, up to the next white space.
+TOGETHER = 1 << 20
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
-
-# A stop or comma right after a letter or digit, before white space: always a token of its own.
-_MARK = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|\Z)")
+# Latin letters, digits and signs and the usual dashes and quotes: composed already, and
+# their lower case does not depend on their neighbours.
+_OTHER = re.compile("[^\x00-\u024f\u2010-\u2027]")
+_WORDS_ASCII = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+_WORDS = regex.compile(
+    r"'(?:s|t|re|ve|m|ll|d)|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+# The splitting and cleaning rules of the files that the patterns above stand for.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_CLEANING = ["NFC", "Replace", "Lowercase"]
+_WORD_END = "</w>"
+
+
+def _byte_names() -> list[str]:
+    """The character by which byte-level vocabularies write each byte."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
+def _merged(word: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """The parts of a word after all merges, the lowest rank first."""
+    while len(word) > 1:
+        rank, at = min((ranks.get(pair, len(ranks)), i) for i, pair in enumerate(zip(word, word[1:])))
+        if rank == len(ranks):
+            break
+        word = [*word[:at], word[at] + word[at + 1], *word[at + 2:]]
+    return word
+
+
+@lru_cache(maxsize=4)
+def word_ranks(content: str) -> tuple[dict[bytes, int], np.ndarray] | None:
+    """Ranks of byte strings, and the id of each rank, that give a tokeniser file's ids.
+
+    A word's bytes are followed by a space, whose merges with every byte come first and
+    make the symbols that end a word. Merging by the rank of what comes out, instead of by
+    pair, is the same when each entry is made by one merge and the merges of its own
+    symbols end in it: then no other pair for it can occur. That is tried for every entry.
+    None for a file of another kind, or one where that fails.
+    """
+    file = json.loads(content)
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    rules = split.get("pretokenizers", [{}])
+    cleaning = [n.get("type") for n in (file.get("normalizer") or {}).get("normalizers", [])]
+    fits = (
+        model.get("type") == "BPE" and model.get("end_of_word_suffix") == _WORD_END
+        and not any(model.get(k) for k in (
+            "dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        and cleaning == _CLEANING and [r.get("type") for r in rules] == ["Split", "ByteLevel"]
+        and rules[0].get("pattern") == {"Regex": _SPLIT} and rules[0].get("invert")
+        and not rules[1].get("add_prefix_space") and not rules[1].get("use_regex")
+    )
+    if not fits:
+        return None
+    names, vocabulary = _byte_names(), model["vocab"]
+    place = {name: b for b, name in enumerate(names)}
+    merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    by_pair = {pair: i for i, pair in enumerate(merges)}
+    ranks: dict[bytes, int] = {}
+    ids: list[int] = []
+
+    def add(entry: str) -> None:
+        bare = entry.removesuffix(_WORD_END)
+        ranks[bytes(place[c] for c in bare) + (b" " if bare != entry else b"")] = len(ids)
+        ids.append(vocabulary[entry])
+
+    for name in names:
+        add(name + _WORD_END)
+    for a, b in merges:
+        bare = (a + b).removesuffix(_WORD_END)
+        symbols = list(bare) if bare == a + b else [*bare[:-1], bare[-1] + _WORD_END]
+        if _merged(symbols, by_pair) != [a + b]:
+            return None
+        add(a + b)
+    for name in names:
+        add(name)
+    if len(ranks) != len(ids):
+        return None
+    return ranks, np.array(ids, "<u4")
 
 
 class WordTokens:
-    """Token ids of texts as little-endian bytes, remembered by word.
+    """Token ids of texts as little-endian bytes, by a quick encoder where it gives the same.
 
-    For tokenisers that lower-case, and split words and marks first, never across white space.
-    What a word gives always comes from the tokeniser itself. Texts beyond Latin-1, whose lower
-    case may depend on context, and texts that may hold a special token go to it whole.
+    The texts it does not take go to the tokeniser itself: those with characters whose
+    cleaning depends on their neighbours, with what may be a special token, or with a very
+    long word, and all texts when the file is of another kind.
     """
 
-    def __init__(self, tokenizer: str, limit: int = MEMO_WORDS) -> None:
+    def __init__(self, tokenizer: str, ranks: tuple[dict[bytes, int], np.ndarray] | None) -> None:
         self._tokenizer = Tokenizer.from_str(tokenizer)
-        self._known: dict[str, bytes] = {"": b""}
-        self._limit = limit
-        vocabulary = self._tokenizer.get_vocab()
-        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self._ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, words: set[str]) -> None:
-        plain = [w for w in words if w.isalpha()]
-        for low in range(0, len(plain), 2000):
-            some = plain[low:low + 2000]
-            # A word of letters is one run, which ends where a token does.
-            ids = self._ids(" ".join(some))
-            ends = 4 * (np.flatnonzero(self._ends[ids]) + 1)
-            if len(ends) == len(some):
-                data, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
-                self._known.update(
-                    (w, data[i:j]) for w, i, j in zip(some, starts, ends.tolist(), strict=True))
-            else:
-                self._known.update((w, self._ids(w).tobytes()) for w in some)
-        self._known.update((w, self._ids(w).tobytes()) for w in words if w and not w.isalpha())
+        self._ids = ranks and ranks[1]
+        self._quick = ranks and tiktoken.Encoding(
+            "words", pat_str="[^ ]+ ", mergeable_ranks=ranks[0], special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return self._ids(text).tobytes()
-        if "<|" in text:
-            return self._ids(text).tobytes()
-        words = _MARK.sub(r" \1", text.lower()).replace("\n", " ").split(" ")
-        distinct = set(words)
-        if distinct.difference(self._known):
-            if len(self._known) + len(distinct) > self._limit:
-                # The older half goes, but for words of this text.
-                self._known = {"": b"", **{w: self._known[w] for w in distinct if w in self._known},
-                               **dict(list(self._known.items())[len(self._known) // 2:])}
-            self._learn(distinct.difference(self._known))
-        return b"".join(map(self._known.__getitem__, words))
+        if not self._quick or "<|" in text or _OTHER.search(text):
+            return self._whole(text)
+        pattern = _WORDS_ASCII if text.isascii() else _WORDS
+        found = []
+        at = 0
+        while at < len(text):
+            end = text.find(" ", at + TOGETHER)
+            end = len(text) if end < 0 else end
+            words = pattern.findall(text[at:end].lower())
+            if words and max(map(len, words)) > LONGEST_RUN:
+                return self._whole(text)
+            if words:
+                ranks = self._quick.encode_ordinary(" ".join(words) + " ")
+                found.append(self._ids[ranks].tobytes())
+            at = end
+        return b"".join(found)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _WORD_TOKENS: dict[int, WordTokens] = {}  # of this Python worker, over its tasks
@@ -104,10 +170,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id:
     content = Path(tokenizer).read_text(encoding="utf-8")
     ids = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     end = end_id.to_bytes(4, "little")
+    ranks = word_ranks(content)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = zlib.crc32(content.encode())
-        tokens = _WORD_TOKENS.get(key) or _WORD_TOKENS.setdefault(key, WordTokens(content))
+        tokens = _WORD_TOKENS.get(key) or _WORD_TOKENS.setdefault(key, WordTokens(content, ranks))
         step = 4 * length
         for batch in batches:
             rows, out = [], ([], [], [], [])

@@ -2,9 +2,11 @@
 repeated rows, clashing column names, and no rows."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -175,6 +177,29 @@ def test_pieces_are_the_tokenizers_ids(docs):
     assert packing.pack(stage(packing.token_pieces(docs(), TOKENIZER), "none")).count() == 0
 
 
+def test_the_quick_encoder_gives_the_tokenizers_ids():
+    content = Path(TOKENIZER).read_text(encoding="utf-8")
+    plain = Tokenizer.from_str(content)
+    ranks = packing.word_ranks(content)
+    assert ranks is not None
+    tokens = packing.WordTokens(content, ranks)
+    rng = random.Random(7)
+    signs = [chr(i) for i in (*range(0x250), *range(0x2010, 0x2028))]
+    parts = sorted(w.removesuffix("</w>") for w in plain.get_vocab())
+    texts = ["a" * 1000, "ab" * 100, "x " * 700_000, "\u0301e", "\u017fs 's'S"]
+    for _ in range(300):
+        texts += ["".join(rng.choices(signs, k=60)), "".join(rng.choices("etas'rl 1.\n\x1c\x85\xa0", k=90)),
+                  " ".join("".join(rng.choices(parts, k=2)) for _ in range(20))]
+    for text in texts:
+        assert tokens(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    # A merge that never comes to its entry: the file's own tokeniser is used.
+    other = json.loads(content)
+    other["model"]["merges"].reverse()
+    assert packing.word_ranks(json.dumps(other)) is None
+    other = packing.WordTokens(content, None)
+    assert other("It's 5.") == tokens("It's 5.")
+
+
 def test_shortest_pack_first_places_every_piece():
     rng = random.Random(3)
     histogram = {n: rng.randrange(1, 900) for n in rng.sample(range(1, 2049), 300)}
