@@ -7,6 +7,7 @@ from tallyframe.operators.counts import (
     hourly_counts_of_top,
     hourly_median,
     most_frequent,
+    most_frequent_each,
     numbered,
     top_values,
     top_values_per_top_key,
@@ -66,6 +67,7 @@ __all__ = [
     "hourly_median",
     "most_active_users",
     "most_frequent",
+    "most_frequent_each",
     "numbered",
     "placement_percentiles",
     "profile_categories",

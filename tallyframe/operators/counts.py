@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,7 @@ from tallyframe.functions.nulls import with_values
 from tallyframe.functions.text import normalized
 from tallyframe.functions.timewin import hour_bucket, time_window
 from tallyframe.plans.joins import count_members
-from tallyframe.plans.ranking import first_rows
+from tallyframe.plans.ranking import TAKE_ROWS, first_rows, with_row_index
 from tallyframe.plans.staging import stage
 
 Bound = str | datetime | None
@@ -57,8 +58,38 @@ def top_values(events: DataFrame, key: str, k: int = 3, start: Bound = None, end
     return first_rows(counts, _by_count(name, key), k)
 
 
-def numbered(top: DataFrame, key: str, *, name: str = "n", rank: str = "rank") -> DataFrame:
-    """Add the place 1, 2, 3, ... to the few rows of a top-k table."""
+def most_frequent_each(events: DataFrame, keys: Sequence[str], start: Bound = None, end: Bound = None,
+                       *, ts: str = "ts", normalize: bool = True, name: str = "n") -> DataFrame:
+    """The most frequent value of each of ``keys``, from one scan: ``key``, ``value``, ``name``.
+
+    A key without values in the window has no row. Values are text.
+    """
+    rows = with_values(time_window(events, start, end, ts=ts), ts)
+    pairs = F.array(*(
+        F.struct(F.lit(k).alias("key"),
+                 (normalized(k) if normalize else F.col(k)).cast("string").alias("value")) for k in keys))
+    counts = (
+        with_values(rows.select(F.inline(pairs)), "value")
+        .groupBy("key", "value").agg(F.count("*").alias(name))
+    )
+    # Equal counts in the order of the value; one row a key and task is shuffled.
+    best = F.min(F.struct((-F.col(name)).alias("less"), "value"))
+    return (
+        counts.groupBy("key").agg(best.alias("_best"))
+        .select("key", "_best.value", (-F.col("_best.less")).alias(name)).orderBy("key")
+    )
+
+
+def numbered(top: DataFrame, key: str, *, name: str = "n", rank: str = "rank",
+             row_bound: int | None = None) -> DataFrame:
+    """Add the place 1, 2, 3, ... to the rows, most frequent first.
+
+    ``row_bound`` is a bound on the rows that holds by construction (a ``limit``); with a
+    small one they are numbered in one task.
+    """
+    if row_bound is None or row_bound > TAKE_ROWS:
+        counted = with_row_index(top, _by_count(name, key), rank)
+        return counted.withColumn(rank, (F.col(rank) + 1).cast("int"))
     return top.withColumn(rank, F.row_number().over(Window.orderBy(*_by_count(name, key))))
 
 

@@ -6,12 +6,12 @@ disk. The archives must lie on a path that every executor can open.
 
 from __future__ import annotations
 
-import io
 import os
 import re
 import sys
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -29,10 +29,12 @@ MEMBER_PATTERN = re.compile(
 EXCLUDED_WORD = "special"
 
 LINE_SCHEMA = (
-    "state string, year string, file string, file_bytes bigint, line_no bigint, line string"
+    "state string, year string, file string, file_bytes bigint, line_no bigint, line string, "
+    "valid boolean"
 )
 GROUP_BYTES = 128 << 20
-BATCH_LINES = 8192
+BLOCK_BYTES = 4 << 20
+HEADER_BYTES = 64 << 10
 
 
 def member_of_interest(name: str) -> tuple[str, str] | None:
@@ -50,6 +52,33 @@ def _archives(path: str) -> list[str]:
     return [path]
 
 
+def _line_blocks(raw: IO[bytes], size: int) -> Iterator[list[bytes]]:
+    """Non-blank lines, those of about ``size`` bytes at a time, without a byte order mark."""
+    rest, first = b"", True
+    while True:
+        data = raw.read(size)
+        block = rest + data
+        if first:
+            block, first = block.removeprefix(b"\xef\xbb\xbf"), False
+        # A carriage return at the end may be half of a line break.
+        end = max(block.rfind(b"\n"), block.rfind(b"\r", 0, -1)) + 1 if data else len(block)
+        rest = block[end:]
+        lines = block[:end].replace(b"\r\n", b"\n").replace(b"\r", b"\n").split(b"\n")
+        if lines := [line for line in lines if line]:
+            yield lines
+        if not data:
+            return
+
+
+def _as_text(lines: list[bytes]) -> tuple[pa.Array, list[bool]]:
+    """The lines as text, and which of them are UTF-8; in the others bad bytes are replaced."""
+    try:
+        return pa.array(lines, pa.binary()).cast(pa.string()), [True] * len(lines)
+    except pa.ArrowInvalid:
+        text = [line.decode("utf-8", errors="replace") for line in lines]
+        return pa.array(text), [t.encode() == line for t, line in zip(text, lines, strict=True)]
+
+
 class MemberGroup(InputPartition):
     def __init__(self, archive: str, members: list[tuple[str, str, str, int]]):
         self.archive = archive
@@ -86,34 +115,28 @@ class ArchiveReader(DataSourceReader):
         schema = pa.schema([
             ("state", pa.string()), ("year", pa.string()), ("file", pa.string()),
             ("file_bytes", pa.int64()), ("line_no", pa.int64()), ("line", pa.string()),
+            ("valid", pa.bool_()),
         ])
 
-        def batch(member: tuple[str, str, str, int], first: int, lines: list[str]):
+        def batch(member: tuple[str, str, str, int], first: int, lines: list[bytes]):
             state, year, name, size = member
             n = len(lines)
             file = f"{partition.archive}!/{name}"
-            columns = [[state] * n, [year] * n, [file] * n, [size] * n,
-                       list(range(first, first + n)), lines]
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
-            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+            text, valid = _as_text(lines)
+            same = [pa.repeat(pa.scalar(value, field.type), n)
+                    for value, field in zip((state, year, file, size), schema)]
+            numbers = pa.array(range(first, first + n), pa.int64())
+            return pa.RecordBatch.from_arrays([*same, numbers, text, pa.array(valid)], schema=schema)
 
         with zipfile.ZipFile(partition.archive) as z:
             for member in partition.members:
                 with z.open(member[2]) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
-                    first, lines = 0, []
-                    for line in text:
-                        line = line.rstrip("\r\n")
-                        if not line:
-                            continue
-                        lines.append(line)
+                    first = 0
+                    for lines in _line_blocks(raw, HEADER_BYTES if self.headers_only else BLOCK_BYTES):
+                        yield batch(member, first, lines[:1] if self.headers_only else lines)
                         if self.headers_only:
                             break
-                        if len(lines) == BATCH_LINES:
-                            yield batch(member, first, lines)
-                            first, lines = first + len(lines), []
-                    if lines:
-                        yield batch(member, first, lines)
+                        first += len(lines)
 
 
 class PrecinctArchive(DataSource):
@@ -136,7 +159,8 @@ class PrecinctArchive(DataSource):
 def read_archive_members(spark: SparkSession, path: str, **options: int | bool) -> DataFrame:
     """Non-blank lines of the wanted members of one archive, or of a folder of archives.
 
-    ``line_no`` counts from 0, the header line. Options are ``groupBytes``, the
+    ``line_no`` counts from 0, the header line. A line that is not UTF-8 is not ``valid``, and
+    its bad bytes are replaced. Options are ``groupBytes``, the
     uncompressed size of the members per task, and ``headersOnly``.
     """
     spark.dataSource.register(PrecinctArchive)

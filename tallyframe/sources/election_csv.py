@@ -71,7 +71,7 @@ def _layouts(headers: DataFrame) -> tuple[DataFrame, list[int]]:
     places = [F.array_position("_names", c).cast("int") for c in (*TEXT_COLUMNS, VOTES)]
     power = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(*places, F.lit(1))))).cast("int")
     layout = layout.select(
-        "file", "header", "weight", "state", "year", power.alias("_parse"),
+        "file", "header", "weight", "state", "year", F.col("valid").alias("_readable"), power.alias("_parse"),
         F.size("_names").alias("_width"),
         (F.size(F.array_distinct("_names")) < F.size("_names")).alias("_repeats"),
         *(place.alias(f"_at_{c}") for c, place in zip((*TEXT_COLUMNS, VOTES), places, strict=True)),
@@ -83,16 +83,16 @@ def _layouts(headers: DataFrame) -> tuple[DataFrame, list[int]]:
 
 def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool = True,
                   **join_limits: int) -> Ingested:
-    """Parse ``(file, line)`` rows into the fixed columns.
+    """Parse ``(file, line, valid)`` rows into the fixed columns.
 
-    ``headers`` is a staged table of ``file``, ``header``, ``state``, ``year`` and ``weight``,
-    the size of the file. A line is parsed as far as the last wanted column of its file. An absent text column is ``''`` and an absent vote count is 0; a blank text
+    ``headers`` is a staged table of ``file``, ``header``, ``valid``, ``state``, ``year`` and
+    ``weight``, the size of the file. ``valid`` tells whether the line is UTF-8. A line is parsed as far as the last wanted column of its file. An absent text column is ``''`` and an absent vote count is 0; a blank text
     field is ``''`` and a blank vote count NULL. Line breaks inside quotes are not
     supported. With ``header_in_lines`` one line equal to the header is dropped
     per file.
     """
     layouts, widths = _layouts(headers)
-    lines = lines.select("file", "line").filter(F.col("line") != "")
+    lines = lines.select("file", "line", "valid").filter(F.col("line") != "")
     parts = []
     for width in widths or [1]:
         # Only the lines of these files are joined.
@@ -112,7 +112,8 @@ def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool
     parsed = parsed.withColumn("_whole", F.coalesce(
         number.try_cast("bigint"), F.when(exact == F.floor(exact), exact.try_cast("bigint"))))
     problem = (
-        F.when(F.col("_repeats"), F.lit("repeated column"))
+        F.when(~(F.col("valid") & F.col("_readable")), F.lit("not UTF-8"))
+        .when(F.col("_repeats"), F.lit("repeated column"))
         .when(_field_count(F.col("line")) != F.col("_width"), F.lit("field count"))
         .when((F.col("_at_votes") > 0) & ~blank & whole.isNull(), F.lit("vote count"))
     )
@@ -150,6 +151,7 @@ def read_csv_tree(spark: SparkSession, root: str) -> DataFrame:
         F.col("_metadata.file_size").alias("file_bytes"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.col("value").alias("line"),
+        F.is_valid_utf8("value").alias("valid"),
     )
 
 
@@ -160,7 +162,7 @@ def ingest_election_csvs(spark: SparkSession, root: str, **join_limits: int) ->
     starts = lines.filter((F.col("block_start") == 0) & (F.col("line") != ""))
     headers = starts.withColumn("_at", F.monotonically_increasing_id()).groupBy("file").agg(
         F.min_by("line", "_at").alias("header"), F.max("file_bytes").alias("weight"))
-    headers = headers.withColumns({"state": _from_path(F.col("file"), 2), "year": _from_path(F.col("file"), 1)})
+    headers = headers.withColumns({"valid": F.is_valid_utf8("header"), "state": _from_path(F.col("file"), 2), "year": _from_path(F.col("file"), 1)})
     return conform_lines(lines, stage(headers, "headers"), **join_limits)
 
 
@@ -168,6 +170,6 @@ def ingest_election_archive(spark: SparkSession, path: str, **join_limits: int)
     """The same for zip archives, without extracting them."""
     lines = read_archive_members(spark, path)
     headers = read_archive_members(spark, path, headersOnly=True).select(
-        "file", F.col("line").alias("header"), F.col("file_bytes").alias("weight"), "state", "year")
+        "file", F.col("line").alias("header"), "valid", F.col("file_bytes").alias("weight"), "state", "year")
     return conform_lines(lines.filter(F.col("line_no") > 0), stage(headers, "headers"),
                          header_in_lines=False, **join_limits)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ CSV_SCHEMA = "timestamp string, user_id string, pixel_color string, coordinate s
 KEPT_COLUMNS = ("user_id", "pixel_color", "coordinate")
 
 
-def typed_placements(raw: DataFrame, *, on_bad_time: str = "drop") -> DataFrame:
-    """Raw text columns with a typed ``ts`` and its UTC ``event_date``."""
+def typed_placements(raw: DataFrame, *, columns: Sequence[str] = KEPT_COLUMNS,
+                     on_bad_time: str = "drop") -> DataFrame:
+    """The raw text ``columns`` with a typed ``ts`` and its UTC ``event_date``."""
     if on_bad_time not in ("drop", "fail"):
         raise ValueError(f"on_bad_time must be 'drop' or 'fail', not {on_bad_time!r}")
     text = F.col("timestamp")
@@ -24,20 +27,21 @@ def typed_placements(raw: DataFrame, *, on_bad_time: str = "drop") -> DataFrame:
         message = F.concat(F.lit("invalid timestamp: "), F.coalesce(text, F.lit("NULL")))
         ts = F.coalesce(ts, F.raise_error(message).cast("timestamp"))
     rows = raw.select(
-        ts.alias("ts"), *KEPT_COLUMNS, F.to_date(F.substring(text, 1, 10)).alias("event_date"))
+        ts.alias("ts"), *columns, F.to_date(F.substring(text, 1, 10)).alias("event_date"))
     return rows if on_bad_time == "fail" else with_values(rows, "ts")
 
 
-def read_placements_csv(spark: SparkSession, path: str, *, on_bad_time: str = "drop") -> DataFrame:
+def read_placements_csv(spark: SparkSession, path: str, *, columns: Sequence[str] = KEPT_COLUMNS,
+                        on_bad_time: str = "drop") -> DataFrame:
     """Placements with a typed ``ts`` and its UTC ``event_date``.
 
-    Columns are taken by header name; files with another header than the first one
+    ``columns`` are taken by header name, others need not be there; files with another header than the first one
     stop the job. A row whose timestamp does not parse is
     dropped, or stops the job with ``on_bad_time="fail"``. A gzip file is one
     task, so a large history should come as many files.
     """
     raw = spark.read.options(header=True, enforceSchema=False, escape='"').csv(path)
-    return typed_placements(raw, on_bad_time=on_bad_time)
+    return typed_placements(raw, columns=columns, on_bad_time=on_bad_time)
 
 
 def write_placements(placements: DataFrame, path: str, *, mode: str = "ignore") -> None:
@@ -46,8 +50,9 @@ def write_placements(placements: DataFrame, path: str, *, mode: str = "ignore")
 
 
 def ingest_placements(spark: SparkSession, csv_path: str, table_path: str, *,
-                      on_bad_time: str = "drop", mode: str = "ignore") -> DataFrame:
+                      columns: Sequence[str] = KEPT_COLUMNS, on_bad_time: str = "drop",
+                      mode: str = "ignore") -> DataFrame:
     """Convert once, then read the typed table."""
-    write_placements(read_placements_csv(spark, csv_path, on_bad_time=on_bad_time), table_path,
-                     mode=mode)
+    rows = read_placements_csv(spark, csv_path, columns=columns, on_bad_time=on_bad_time)
+    write_placements(rows, table_path, mode=mode)
     return spark.read.parquet(table_path)

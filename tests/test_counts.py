@@ -34,10 +34,21 @@ def test_counts_merge_spellings_and_skip_nulls_per_key(events):
     assert sorted(map(tuple, raw.collect())) == [(" #FF ", 1), ("#ff", 1)]
 
 
+def test_most_frequent_of_several_keys_scans_once(events):
+    df = events(("2022-04-01 00:00:00", "a", "b", "1,1"), ("2022-04-01 00:00:01", "a", "A", None),
+                ("2022-04-01 00:00:02", "a", None, "2,1"), ("2022-04-01 00:00:03", "a", None, "1,1"))
+    top = ops.most_frequent_each(df, ("pixel_color", "coordinate"))
+    assert [tuple(r) for r in top.collect()] == [("coordinate", "1,1", 2), ("pixel_color", "a", 1)]
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Union" not in plan
+
+
 def test_ties_go_to_the_smaller_key(events):
     df = events(*[("2022-04-01 00:00:00", "a", c, "0,0") for c in ("b", "a", "c", "c", "b", "a", "d")])
     assert [tuple(r) for r in ops.most_frequent(df, "pixel_color").collect()] == [("a", 2)]
-    top = ops.numbered(ops.top_values(df, "pixel_color", 3), "pixel_color")
+    three = ops.top_values(df, "pixel_color", 3)
+    top = ops.numbered(three, "pixel_color", row_bound=3)
+    assert sorted(map(tuple, ops.numbered(three, "pixel_color").collect())) == sorted(map(tuple, top.collect()))
     assert sorted(map(tuple, top.collect())) == [("a", 2, 1), ("b", 2, 2), ("c", 2, 3)]
 
 

@@ -1,4 +1,5 @@
 import gzip
+import io
 import zipfile
 
 import pytest
@@ -15,7 +16,7 @@ from tallyframe.sources import (
     write_placements,
     write_results,
 )
-from tallyframe.sources.archive import member_of_interest
+from tallyframe.sources.archive import _line_blocks, member_of_interest
 from tallyframe.sources.tables import RESULTS_SCHEMA
 
 
@@ -262,3 +263,44 @@ def test_archive_without_wanted_members(spark, tmp_path):
     assert read_archive_members(spark, str(path)).count() == 0
     rows, skipped = ingest_election_archive(spark, str(path))
     assert (rows.count(), skipped.count()) == (0, 0)
+
+
+def test_files_that_are_not_utf8_are_reported(spark, tmp_path):
+    folder = tmp_path / "tree" / "ny" / "2012"
+    folder.mkdir(parents=True)
+    header = b"votes,precinct\n"
+    contents = {
+        "bad": header + b"1,Caf\xe9\n2,B\n", "head": b"votes,precinct,\xff\n1,A,x\n",
+        "good": b"\xef\xbb\xbf" + header + "3,Café\n".encode()}
+    path = str(tmp_path / "a.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for name, content in contents.items():
+            (folder / f"{name}.csv").write_bytes(content)
+            z.writestr(f"openelections-data-ny/2012/{name}__general__precinct.csv", content)
+    for rows, skipped in (ingest_election_csvs(spark, str(tmp_path / "tree")), ingest_election_archive(spark, path)):
+        assert [(r.votes, r.precinct) for r in rows.collect()] == [(3, "Café")]
+        assert sorted((r.problem, r.lines) for r in skipped.collect()) == [("not UTF-8", 1)] * 2
+
+
+def test_lines_across_blocks():
+    lines = [b"a" * n for n in (1, 5, 70, 3, 2)]
+    for end in (b"\n", b"\r\n", b"\r"):
+        content = b"\xef\xbb\xbf" + (end + end).join(lines)
+        for size in (4, 7, 1000):
+            got = [line for block in _line_blocks(io.BytesIO(content), size) for line in block]
+            assert got == lines, (end, size)
+
+
+def test_percent_signs_in_archive_names(spark, tmp_path):
+    path = str(tmp_path / "50% done+.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("openelections-data-ny/2012/x__general__90%__precinct.csv", "votes,precinct\n1,P\n")
+    row = ingest_election_archive(spark, path).rows.first()
+    assert (row.state, row.year, row.votes) == ("openelections-data-ny", "2012", 1)
+
+
+def test_ingest_of_some_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("pixel_color,timestamp\nred,2022-04-01 12:00:00.5 UTC\n")
+    rows = ingest_placements(spark, str(tmp_path / "a.csv"), str(tmp_path / "t"), columns=("pixel_color",))
+    assert rows.columns == ["ts", "pixel_color", "event_date"]
+    assert rows.count() == 1
