@@ -44,7 +44,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    return mixing.repeated(docs, mixing.mix_sources(docs))
+    rows = mixing.numbered(docs)
+    return mixing.repeated(rows, mixing.mix_rows(rows))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

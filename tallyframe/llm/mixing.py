@@ -76,21 +76,40 @@ def _select(shard: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": shard["key"].to_numpy(), "extra": extra})
 
 
-def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
-                doc_id: str = "doc_id", weights: Sequence[float] = WEIGHTS,
-                budget: float = BUDGET, epochs: float = EPOCHS, shard: int = SHARD,
-                seed: int = 11) -> DataFrame:
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as ``row``, stored with their number ``key``.
+
+    A number holds for one scan only: another may split its files otherwise. Whoever goes
+    back from a ``key`` to its row reads both from here.
+    """
+    return stage(_with_keys(docs), "numbered")
+
+
+def _with_keys(docs: DataFrame) -> DataFrame:
+    return as_rows(docs).withColumn("key", F.monotonically_increasing_id())
+
+
+def mix_sources(docs: DataFrame, **parameters: object) -> DataFrame:
+    """``mix_rows`` of rows that are numbered for it alone."""
+    return mix_rows(_with_keys(docs), **parameters)
+
+
+def mix_rows(rows: DataFrame, *, text: str = "text", source: str = "source",
+             doc_id: str = "doc_id", weights: Sequence[float] = WEIGHTS,
+             budget: float = BUDGET, epochs: float = EPOCHS, shard: int = SHARD,
+             seed: int = 11) -> DataFrame:
     """One row per document: ``key``, ``doc_id``, ``size``, ``source_size``, ``target``, ``repeats``, ``taken``.
 
-    A size is a number of words (null or empty text: 0). ``weights`` repeat over the
-    sources in order of their code points, the null source last; it is a source like any
-    other. ``key`` is the number of the stored row. ``taken`` is ``repeats`` times the size, at most ``epochs`` sizes. Repeated rows are
-    documents of their own. Null identifiers are allowed, an empty table gives no rows.
+    ``rows`` are those of ``numbered``. A size is a number of words (null or empty text: 0).
+    ``weights`` repeat over the sources in order of their code points, the null source last;
+    it is a source like any other. ``taken`` is ``repeats`` times the size, at most
+    ``epochs`` sizes. Repeated rows are documents of their own. Null identifiers are
+    allowed, an empty table gives no rows.
     Reruns over the same table agree.
     """
     words = F.regexp_count(whole_text(f"row.{text}"), F.lit(NOT_SPACE)).cast("long")
-    sized = as_rows(docs).select(
-        F.monotonically_increasing_id().alias("key"),
+    sized = rows.select(
+        "key",
         F.col(f"row.{doc_id}").alias("doc_id"),
         F.col(f"row.{source}").cast("string").alias("source"), words.alias("size"))
     # Numbers only: what follows never moves texts.
@@ -123,9 +142,8 @@ def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
     return taken.withColumn("taken", F.col("repeats") * F.col("size"))
 
 
-def repeated(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as ``mix_sources`` decided for them."""
-    rows = as_rows(docs).withColumn("key", F.monotonically_increasing_id())
+def repeated(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``numbered`` as often as ``mix_rows`` decided for them."""
     times = decided.filter("repeats > 0").select("key", "repeats")
     return (
         rows.join(times, "key")

@@ -151,6 +151,33 @@ def test_mixing_meets_targets(docs):
     assert mixing.mix_sources(docs()).count() == 0
 
 
+@pytest.fixture
+def split_anew(spark):
+    """From the call on a table's files are dealt over other partitions, as with other cores."""
+    name = "spark.sql.files.maxPartitionBytes"
+    yield lambda: spark.conf.set(name, "4200000")
+    spark.conf.unset(name)
+
+
+def stored_sources(spark, docs, folder):
+    texts = [" ".join(words(5 + i % 37, i)) for i in range(600)]
+    path = str(folder / "documents.parquet")
+    docs(*texts, sources=["abc"[i % 3] for i in range(600)]).repartition(12, "doc_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_mixed_rows_are_those_decided_on_whatever_the_splits(spark, docs, tmp_path, split_anew):
+    import corpus_pipeline
+
+    frame = stored_sources(spark, docs, tmp_path)
+    wanted = {r.doc_id: r.repeats for r in mixing.mix_sources(frame).collect() if r.repeats}
+    mixed = corpus_pipeline.mix(spark, frame, "")
+    before = frame.rdd.getNumPartitions()
+    split_anew()
+    assert spark.read.parquet(str(tmp_path / "documents.parquet")).rdd.getNumPartitions() > before
+    assert dict(map(tuple, mixed.groupBy("doc_id").count().collect())) == wanted
+
+
 def test_pieces_are_the_tokenizers_ids(docs):
     rng = random.Random(1)
     texts = [None, "", "  ", "Don't they'll, we're 5. x_.y ...,, a.,b", "<|endoftext|> <|ENDOFTEXT|>",
