@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import NOT_SPACE, as_rows, whole_text
+from tallyframe.plans.joins import lookup
 from tallyframe.plans.ranking import with_row_index
 from tallyframe.plans.staging import stage
 
@@ -89,6 +90,26 @@ def _with_keys(docs: DataFrame) -> DataFrame:
     return as_rows(docs).withColumn("key", F.monotonically_increasing_id())
 
 
+def _with_places(sized: DataFrame, seed: int) -> DataFrame:
+    """Add ``place``, a seeded hash of the ``content`` and of the number among its copies.
+
+    The row number ``key`` depends on how the files were split; it only orders wholly equal
+    rows here, where any order gives the same documents. Copies get numbers of their own, so
+    that many of them spread over the shards.
+    """
+    copied = stage(sized.groupBy("content").agg(F.count("*").alias("n")).filter("n > 1"), "copied")
+    if copied.isEmpty():
+        return sized.withColumn("place", F.xxhash64(F.lit(seed), "content", F.lit(0).cast("long")))
+    ordered = stage(
+        with_row_index(lookup(sized.select("key", "content"), copied, "content", "n"),
+                       [F.col("content"), F.col("key")], "at"), "copies")
+    firsts = stage(ordered.groupBy("content").agg(F.min("at").alias("first"), F.count("*").alias("n")), "firsts")
+    copies = lookup(ordered, firsts, "content", "n").select("key", (F.col("at") - F.col("first")).alias("copy"))
+    copy = F.coalesce("copy", F.lit(0).cast("long"))
+    return sized.join(copies, "key", "left").withColumn(
+        "place", F.xxhash64(F.lit(seed), "content", copy)).drop("copy")
+
+
 def mix_sources(docs: DataFrame, **parameters: object) -> DataFrame:
     """``mix_rows`` of rows that are numbered for it alone."""
     return mix_rows(_with_keys(docs), **parameters)
@@ -105,13 +126,14 @@ def mix_rows(rows: DataFrame, *, text: str = "text", source: str = "source",
     it is a source like any other. ``taken`` is ``repeats`` times the size, at most
     ``epochs`` sizes. Repeated rows are documents of their own. Null identifiers are
     allowed, an empty table gives no rows.
-    Reruns over the same table agree.
+    Reruns over the same table agree, also where its files are split otherwise.
     """
     words = F.regexp_count(whole_text(f"row.{text}"), F.lit(NOT_SPACE)).cast("long")
     sized = rows.select(
         "key",
         F.col(f"row.{doc_id}").alias("doc_id"),
-        F.col(f"row.{source}").cast("string").alias("source"), words.alias("size"))
+        F.col(f"row.{source}").cast("string").alias("source"), words.alias("size"),
+        F.xxhash64(F.to_json("row", {"timeZone": "UTC"})).alias("content"))
     # Numbers only: what follows never moves texts.
     sized = stage(sized, "sizes")
     sums = stage(sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")),
@@ -126,11 +148,10 @@ def mix_rows(rows: DataFrame, *, text: str = "text", source: str = "source",
         F.col("source").alias("_source"), F.col("size").alias("source_size"), "target",
         F.col("n"), F.floor(ratio + 1e-12).alias("whole"),
         F.greatest(ratio - F.floor(ratio + 1e-12), F.lit(0.0)).alias("fraction"))
-    place = F.xxhash64(F.lit(seed), "doc_id", "key")
-    keyed = sized.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).withColumns({
-        "place": place,
+    placed = _with_places(sized, seed)
+    keyed = placed.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).withColumns({
         # A document stays in its shard whatever its size; shards differ by chance only.
-        "shard": F.pmod(F.shiftright(place, 20), F.ceil(F.col("n") / F.lit(shard))),
+        "shard": F.pmod(F.shiftright("place", 20), F.ceil(F.col("n") / F.lit(shard))),
         "size_class": F.when(F.col("size") > 0, F.floor(F.log2("size"))).otherwise(F.lit(-1)),
     })
     extra = keyed.groupBy("source", "shard").applyInPandas(

@@ -178,6 +178,21 @@ def test_mixed_rows_are_those_decided_on_whatever_the_splits(spark, docs, tmp_pa
     assert dict(map(tuple, mixed.groupBy("doc_id").count().collect())) == wanted
 
 
+def test_mixing_does_not_depend_on_the_splits(spark, docs, tmp_path, split_anew):
+    frame = stored_sources(spark, docs, tmp_path)
+    copies = docs(*["some words"] * 40, ids=[None] * 40, sources=["a"] * 40)
+    copies.write.mode("append").parquet(str(tmp_path / "documents.parquet"))
+
+    def mixed():
+        rows = mixing.mix_sources(spark.read.parquet(str(tmp_path / "documents.parquet")), shard=20).collect()
+        return sorted((r.doc_id or -1, r.size, r.repeats) for r in rows)
+
+    wanted = mixed()
+    assert len(wanted) == frame.count() + 40 and len({r[2] for r in wanted}) > 1
+    split_anew()
+    assert mixed() == wanted
+
+
 def test_pieces_are_the_tokenizers_ids(docs):
     rng = random.Random(1)
     texts = [None, "", "  ", "Don't they'll, we're 5. x_.y ...,, a.,b", "<|endoftext|> <|ENDOFTEXT|>",
