@@ -1,16 +1,22 @@
-"""License scan: winnowed fingerprints pick templates, banded alignment measures them.
-
-The templates are cut into word n-grams, of which winnowing keeps the smallest hash of
-every window. These fingerprints are an inverted index from hash to template and place. A
-document's n-grams that are in the index vote for a template on a diagonal (place in the
-document minus place in the template). Where votes lie, the words around are aligned with
-the template in a band about the diagonal, and the matched words give coverage and span.
+"""License scan: rare words pick templates and windows, alignment measures them.
+
+A match may miss ``missing`` words of a template, so it holds at least one of any
+``missing + 1`` of its places. The places with the rarest words are an inverted index from
+word to template and place. A document's words that are in the index vote for a template on
+a diagonal (place in the document minus place in the template). Around it the words are
+aligned with the template, in a window that reaches beyond it on both sides, and the matched
+words give coverage and span. What a window holds beside a match is aligned again, so copies
+that follow each other are all found. So no match is lost to the search, whichever words
+are changed, missing or put in between, as far as its window reaches.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -22,8 +28,9 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import whole_text
 
-GRAM, WINDOW, BAND = 3, 2, 6
 MIN_COVERAGE = 0.7
+# So many words at least may be put in, or a longer template's missing ones be left out.
+BAND = 6
 MEMO_WORDS = 1_000_000
 
 # Notices by which common licenses are stated.
@@ -80,25 +87,12 @@ class _Words:
 _WORDS = _Words()  # of this Python worker, over its tasks
 
 
-def _grams(words: np.ndarray) -> np.ndarray:
-    n = len(words) - GRAM + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i in range(GRAM):
-        total = (total ^ words[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        total ^= total >> np.uint64(29)
-    return total
-
-
-def winnow(grams: np.ndarray, window: int = WINDOW) -> list[int]:
-    """Places of the smallest hash of every window, the rightmost of equal ones."""
-    kept: set[int] = set()
-    for start in range(max(1, len(grams) - window + 1)):
-        part = grams[start:start + window]
-        if len(part):
-            kept.add(start + len(part) - 1 - int(np.argmin(part[::-1])))
-    return sorted(kept)
+# Frequent words of English prose, taken as places of the index last.
+_COMMON = frozenset("""
+    a all also an and any are as at be but by can do each following for free from general has have
+    if in including is it its made may met must new no not of on only or other public such than
+    that the their this these to under use used was which will with within without work works you your
+""".split())
 
 
 @dataclass(frozen=True)
@@ -114,68 +108,119 @@ class Match:
         return self.matched / self.words
 
 
+class _Template:
+    def __init__(self, name: str, text: str, words: np.ndarray) -> None:
+        self.name, self.words = name, words
+        # In lower case without marks, as hashed.
+        self.plain = [_EDGE.sub("", w) or w for w in text.lower().split()]
+        self.least = math.ceil(MIN_COVERAGE * len(words) - 1e-9)
+        self.missing = len(words) - self.least
+        self.band = max(BAND, self.missing + 1)
+        self._masks: tuple[dict[int, int], dict[int, int]] | None = None
+
+    def masks(self) -> tuple[dict[int, int], dict[int, int]]:
+        """The places of each word as bits, from the start and from the end."""
+        if self._masks is None:
+            there: dict[int, int] = defaultdict(int)
+            back: dict[int, int] = defaultdict(int)
+            for i, word in enumerate(self.words.tolist()):
+                there[word] |= 1 << i
+                back[word] |= 1 << (len(self.words) - 1 - i)
+            self._masks = dict(there), dict(back)
+        return self._masks
+
+    def align(self, words: list[int], lo: int, hi: int) -> Match | None:
+        """Longest common subsequence with the words from ``lo`` to ``hi``: the first end at
+        which it is reached, and the last start for that end."""
+        there, back = self.masks()
+        matched, last = self._longest(there, words[lo:hi])
+        if matched < self.least:
+            return None
+        last += lo
+        _, first = self._longest(back, words[lo:last + 1][::-1])
+        return Match(self.name, last - first, last + 1, matched, len(self.words))
+
+    def _longest(self, masks: dict[int, int], words: list[int]) -> tuple[int, int]:
+        """Length, and the place at which it is reached. A row of the table is one number,
+        whose bits are 0 where the length grows along the template."""
+        full = (1 << len(self.words)) - 1
+        row, zeros, at = full, 0, -1
+        for place, word in enumerate(words):
+            mask = masks.get(word)
+            if mask:
+                both = row & mask
+                row = ((row + both) | (row - both)) & full
+                now = len(self.words) - row.bit_count()
+                if now > zeros:
+                    zeros, at = now, place
+        return zeros, at
+
+
 class Scanner:
     """Templates with their inverted index, small enough to go to every task."""
 
     def __init__(self, templates: Mapping[str, str]) -> None:
-        self._words = _Words()
-        self._names = sorted(templates)
-        self._templates = [self._words(templates[n]) for n in self._names]
+        known = _Words()
+        self._templates = [_Template(n, templates[n], known(templates[n])) for n in sorted(templates)]
+        used = Counter(w for t in self._templates for w in set(t.plain))
         index: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for t, words in enumerate(self._templates):
-            grams = _grams(words)
-            for place in winnow(grams):
-                index[int(grams[place])].append((t, place))
+        for number, t in enumerate(self._templates):
+            rare = sorted(range(len(t.words)), key=lambda i: (
+                t.plain[i] in _COMMON, used[t.plain[i]], -len(t.plain[i]), i))
+            for place in rare[:t.missing + 1]:
+                index[int(t.words[place])].append((number, place))
         self._index = dict(index)
         self._keys = np.array(sorted(index), np.uint64)
 
     def scan(self, words: np.ndarray) -> list[Match]:
         """Matches that do not overlap: most matched words first, then coverage, then name."""
-        grams = _grams(words)
-        if not len(grams) or not len(self._keys):
+        if not len(words) or not len(self._keys):
             return []
-        at = np.minimum(np.searchsorted(self._keys, grams), len(self._keys) - 1)
-        hits = np.flatnonzero(self._keys[at] == grams)
+        at = np.minimum(np.searchsorted(self._keys, words), len(self._keys) - 1)
+        hits = np.flatnonzero(self._keys[at] == words)
         if not len(hits):
             return []
-        votes: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        return self._best(words.tolist(), self._windows(words, hits))
+
+    def _windows(self, words: np.ndarray, hits: np.ndarray) -> set[tuple[int, int, int]]:
+        """Templates with the bounds within which a match may lie."""
+        windows = set()
         for place in hits.tolist():
-            for template, origin in self._index[int(grams[place])]:
-                votes[template].append((place - origin, place))
-        found = []
-        for template, cast in votes.items():
-            seen: list[int] = []
-            for diagonal, _ in sorted(cast):
-                if not seen or diagonal > seen[-1] + BAND // 2:
-                    seen.append(diagonal)
-                    found.append(self._align(template, diagonal, words))
-        found = sorted((m for m in found if m), key=lambda m: (-m.matched, -m.coverage, m.license, m.first))
+            for number, origin in self._index[int(words[place])]:
+                t = self._templates[number]
+                start = place - origin
+                windows.add((number, max(0, start - t.band), min(len(words), start + len(t.words) + t.band)))
+        return windows
+
+    def _best(self, words: list[int], windows: set[tuple[int, int, int]]) -> list[Match]:
+        queue: list[tuple[int, float, str, int, int, int, int, int]] = []
+        done = set()
+
+        def align(number: int, lo: int, hi: int) -> None:
+            t = self._templates[number]
+            if hi - lo < t.least or (number, lo, hi) in done:
+                return
+            done.add((number, lo, hi))
+            m = t.align(words, lo, hi)
+            if m:
+                heapq.heappush(queue, (-m.matched, -m.coverage, m.license, m.first, m.last, number, lo, hi))
+
+        for number, lo, hi in windows:
+            align(number, lo, hi)
         kept: list[Match] = []
-        for match in found:
-            if all(match.last <= k.first or match.first >= k.last for k in kept):
-                kept.append(match)
-        return sorted(kept, key=lambda m: m.first)
-
-    def _align(self, template: int, diagonal: int, words: np.ndarray) -> Match | None:
-        """Longest common subsequence of words within the band; of equal ones the tightest
-        span, as far as the band tells."""
-        wanted = self._templates[template]
-        # Best (matched, -span) ending at each column, with where it began and ended.
-        before: dict[int, tuple[int, int, int, int]] = {}
-        for row in range(len(wanted)):
-            now: dict[int, tuple[int, int, int, int]] = {}
-            for column in range(max(0, row + diagonal - BAND), min(len(words), row + diagonal + BAND + 1)):
-                best = max((before.get(column, (0, 0, -1, -1)), now.get(column - 1, (0, 0, -1, -1))))
-                if words[column] == wanted[row]:
-                    matched, _, first, _ = before.get(column - 1, (0, 0, -1, -1))
-                    first = column if first < 0 else first
-                    best = max(best, (matched + 1, first - column, first, column))
-                now[column] = best
-            before = now
-        matched, _, first, last = max(before.values(), default=(0, 0, -1, -1))
-        if matched < MIN_COVERAGE * len(wanted):
-            return None
-        return Match(self._names[template], first, last + 1, matched, len(wanted))
+        while queue:
+            matched, _, name, first, last, number, lo, hi = heapq.heappop(queue)
+            # Those kept do not overlap, so of those that begin before the end the last one tells.
+            i = bisect.bisect_left(kept, last, key=lambda m: m.first)
+            if i and kept[i - 1].last > first:
+                over = kept[i - 1]
+            else:
+                over = Match(name, first, last, -matched, len(self._templates[number].words))
+                kept.insert(i, over)
+            # What the window holds beside the better match.
+            align(number, lo, min(hi, over.first))
+            align(number, max(lo, over.last), hi)
+        return kept
 
 
 def scan_licenses(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
@@ -186,7 +231,7 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id"
     The span is in code points, its end exclusive. Of matches that overlap the one with most
     matched words stays. Whole texts are read; null, empty and unmatched texts have no rows,
     repeated rows have theirs each. The number and length of templates bound what goes to a
-    task, a template needs three words.
+    task.
     """
     scanner = Scanner(templates)
     ids = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))

@@ -392,6 +392,19 @@ def test_license_scan(docs):
     assert set(got) == {2, 3, 5, 7}
 
 
+def test_license_scan_finds_changed_words_and_adjacent_copies(docs):
+    mit = "Released under the MIT License."
+    texts = ["Released under MIT License", "Released under an MIT License", f"{mit}\n{mit}\n{mit}",
+             f"Released under an MIT License {mit}", "Released now under of the old MIT sort License"]
+    got = {}
+    for r in licenses.scan_licenses(docs(*texts)).collect():
+        got.setdefault(r.doc_id, []).append((r.license, texts[r.doc_id][r.start:r.end], r.matched_words))
+    assert got[0] == [("MIT", texts[0], 4)] and got[1] == [("MIT", texts[1], 4)]
+    assert got[2] == [("MIT", mit, 5)] * 3
+    assert got[3] == [("MIT", "Released under an MIT License", 4), ("MIT", mit, 5)]
+    assert got[4] == [("MIT", texts[4], 5)]
+
+
 def test_quality_is_learnt(spark, docs):
     rng = random.Random(1)
     good = [" ".join(rng.choices(["river", "stone", "light", "under", "the", "walked"], k=60)) for _ in range(80)]
