@@ -5,7 +5,8 @@ A match may miss ``missing`` words of a template, so it holds at least one of an
 word to template and place. A document's words that are in the index vote for a template on
 a diagonal (place in the document minus place in the template). Around it the words are
 aligned with the template, in a window that reaches beyond it on both sides, and the matched
-words give coverage and span. What a window holds beside a match is aligned again, so copies
+words give coverage and span. Whole licenses, with hundreds of places to choose, are looked
+for where enough of their rarer words stand close together. What a window holds beside a match is aligned again, so copies
 that follow each other are all found. So no match is lost to the search, whichever words
 are changed, missing or put in between, as far as its window reaches.
 """
@@ -19,6 +20,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,11 @@ MIN_COVERAGE = 0.7
 BAND = 6
 MEMO_WORDS = 1_000_000
 
+# Up to this length a template is searched by its rarest words, beyond by their density.
+NOTICE_WORDS = 64
+
 # Notices by which common licenses are stated.
-TEMPLATES: dict[str, str] = {
+NOTICES: dict[str, str] = {
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-2-Clause": "Licensed under the BSD 2-Clause License.",
@@ -59,6 +64,16 @@ TEMPLATES: dict[str, str] = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+
+def whole_licenses() -> dict[str, str]:
+    """The license texts of this package, by identifier and ``-full``."""
+    folder = resources.files("tallyframe.llm").joinpath("license_texts")
+    return {f.name.removesuffix(".txt") + "-full": f.read_text(encoding="utf-8")
+            for f in folder.iterdir() if f.name.endswith(".txt")}
+
+
+TEMPLATES: dict[str, str] = {**NOTICES, **whole_licenses()}
+
 _EDGE = re.compile(r"^[^0-9a-z]+|[^0-9a-z]+$")
 _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -164,34 +179,62 @@ class Scanner:
         self._templates = [_Template(n, templates[n], known(templates[n])) for n in sorted(templates)]
         used = Counter(w for t in self._templates for w in set(t.plain))
         index: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        long: dict[int, set[int]] = {}
         for number, t in enumerate(self._templates):
             rare = sorted(range(len(t.words)), key=lambda i: (
                 t.plain[i] in _COMMON, used[t.plain[i]], -len(t.plain[i]), i))
-            for place in rare[:t.missing + 1]:
-                index[int(t.words[place])].append((number, place))
+            if len(t.words) > NOTICE_WORDS:
+                # Of so many places a match misses less than half.
+                long[number] = {int(t.words[place]) for place in rare[:2 * t.missing + 1]}
+            else:
+                for place in rare[:t.missing + 1]:
+                    index[int(t.words[place])].append((number, place))
         self._index = dict(index)
         self._keys = np.array(sorted(index), np.uint64)
+        self._long = list(long)
+        self._long_keys = np.array(sorted(set().union(*long.values())), np.uint64)
+        self._in_long = np.array([[k in long[n] for k in self._long_keys.tolist()] for n in long], bool)
+        self._needed = np.array([self._templates[n].missing + 1 for n in long], np.int64)
+        self._least = np.array([self._templates[n].least for n in long], np.int64)
 
     def scan(self, words: np.ndarray) -> list[Match]:
         """Matches that do not overlap: most matched words first, then coverage, then name."""
-        if not len(words) or not len(self._keys):
+        if not len(words):
             return []
-        at = np.minimum(np.searchsorted(self._keys, words), len(self._keys) - 1)
-        hits = np.flatnonzero(self._keys[at] == words)
-        if not len(hits):
-            return []
-        return self._best(words.tolist(), self._windows(words, hits))
+        windows = self._notice_windows(words) | self._long_windows(words)
+        return self._best(words.tolist(), windows) if windows else []
 
-    def _windows(self, words: np.ndarray, hits: np.ndarray) -> set[tuple[int, int, int]]:
+    def _notice_windows(self, words: np.ndarray) -> set[tuple[int, int, int]]:
         """Templates with the bounds within which a match may lie."""
-        windows = set()
-        for place in hits.tolist():
+        windows: set[tuple[int, int, int]] = set()
+        if not len(self._keys):
+            return windows
+        at = np.minimum(np.searchsorted(self._keys, words), len(self._keys) - 1)
+        for place in np.flatnonzero(self._keys[at] == words).tolist():
             for number, origin in self._index[int(words[place])]:
                 t = self._templates[number]
                 start = place - origin
                 windows.add((number, max(0, start - t.band), min(len(words), start + len(t.words) + t.band)))
         return windows
 
+    def _long_windows(self, words: np.ndarray) -> set[tuple[int, int, int]]:
+        """The same for long templates: windows in steps of the band that hold enough of
+        the template's rarer words for a match."""
+        windows: set[tuple[int, int, int]] = set()
+        if not self._long or len(words) < self._least.min():
+            return windows
+        at = np.minimum(np.searchsorted(self._long_keys, words), len(self._long_keys) - 1)
+        known = self._long_keys[at] == words
+        counts = self._in_long @ np.bincount(at[known], minlength=len(self._long_keys))
+        for i in np.flatnonzero((counts >= self._needed) & (self._least <= len(words))).tolist():
+            t = self._templates[self._long[i]]
+            before = np.concatenate(([0], np.cumsum(self._in_long[i][at] & known)))
+            lo = np.arange(0, len(words), t.band)
+            hi = np.minimum(len(words), lo + len(t.words) + 2 * t.band)
+            enough = before[hi] - before[lo] >= self._needed[i]
+            windows.update((self._long[i], int(a), int(b)) for a, b in zip(lo[enough], hi[enough], strict=True))
+        return windows
+
     def _best(self, words: list[int], windows: set[tuple[int, int, int]]) -> list[Match]:
         queue: list[tuple[int, float, str, int, int, int, int, int]] = []
         done = set()

@@ -405,6 +405,29 @@ def test_license_scan_finds_changed_words_and_adjacent_copies(docs):
     assert got[4] == [("MIT", texts[4], 5)]
 
 
+def test_license_scan_finds_whole_texts(docs):
+    whole = licenses.whole_licenses()
+    names = sorted(whole)
+    fill = " ".join(words(3000, 5))
+    rng = random.Random(3)
+    gpl = whole["GPL-3.0-full"].split()
+    worn = " ".join("x" if rng.random() < 0.2 else w for w in gpl)
+    mit = whole["MIT-full"].strip()
+    apache = whole["Apache-2.0-full"].split("END OF TERMS")[0].strip()
+    texts = [f"{fill} {whole[n].strip()} {fill}" for n in names] + [worn, f"{mit}\n\n{mit}", apache, fill * 5]
+    got = {}
+    for r in licenses.scan_licenses(docs(*texts)).collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.start, r.end, r.coverage))
+    n = len(names)
+    for i, name in enumerate(names):
+        start = len(fill) + 1
+        assert got[i] == [(name, start, start + len(whole[name].strip()), 1.0)], name
+    assert [m[0] for m in got[n]] == ["GPL-3.0-full"] and 0.75 < got[n][0][3] < 0.85
+    assert got[n + 1] == [("MIT-full", 0, len(mit), 1.0), ("MIT-full", len(mit) + 2, 2 * len(mit) + 2, 1.0)]
+    assert [m[0] for m in got[n + 2]] == ["Apache-2.0-full"]
+    assert n + 3 not in got
+
+
 def test_quality_is_learnt(spark, docs):
     rng = random.Random(1)
     good = [" ".join(rng.choices(["river", "stone", "light", "under", "the", "walked"], k=60)) for _ in range(80)]
