@@ -52,6 +52,43 @@ _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
+# Words of a name that say what kind of box an element is.
+_BOXES = frozenset("""
+    area bar block bottom box button buttons container icon icons inner links list main outer
+    panel site slot top unit wrap wrapper
+""".split())
+# Elements that no class or id makes furniture.
+_UNMARKED = frozenset("html body h1 h2 h3 h4 h5 h6 hgroup".split())
+
+# Fixed values, after the HTML standard: what the start of an element ends, and the elements
+# beyond which it ends nothing.
+_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_TABLE = frozenset("table caption colgroup thead tbody tfoot tr td th".split())
+_TABLES = frozenset(("table",))
+_SCOPE = frozenset("button caption object table td th".split())
+_LISTS = BLOCKS - {"address", "body", "br", "dd", "div", "dt", "html", "li", "option", "p"} | _SCOPE
+_SELECTS = frozenset("select datalist".split())
+_GROUPS = _SELECTS | {"optgroup"}
+_BLOCK_WALL = BLOCKS
+_NO_WALL: frozenset[str] = frozenset()
+_WALLS = (_TABLES, _SCOPE, _LISTS, _SELECTS, _GROUPS, _BLOCK_WALL, _NO_WALL)
+_WALLS_OF = {name: [w for w in _WALLS if name in w] for name in frozenset().union(*_WALLS)}
+_P_END = frozenset("""
+    address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption
+    figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section
+    summary table ul
+""".split())
+_CELLS, _ROWS = ("td", "th"), ("tr", "td", "th")
+_SECTIONS = ("caption", "colgroup", "thead", "tbody", "tfoot", *_ROWS)
+_ENDED_BY: dict[str, list[tuple[tuple[str, ...], frozenset[str]]]] = {
+    "li": [(("li",), _LISTS)], "dd": [(("dd", "dt"), _LISTS)], "dt": [(("dd", "dt"), _LISTS)],
+    "td": [(_CELLS, _TABLES)], "th": [(_CELLS, _TABLES)], "tr": [(_ROWS, _TABLES)],
+    "thead": [(_SECTIONS, _TABLES)], "tbody": [(_SECTIONS, _TABLES)], "tfoot": [(_SECTIONS, _TABLES)],
+    "option": [(("option",), _GROUPS)], "optgroup": [(("option", "optgroup"), _SELECTS)],
+}
+for _name in _P_END:
+    _ENDED_BY.setdefault(_name, []).append((("p",), _SCOPE))
+
 WORD, LINK, FURNITURE_WORD = "word", "link word", "furniture word"
 LIMIT = 3.0
 
@@ -73,31 +110,96 @@ class Item:
             yield FURNITURE_WORD if self.furniture else LINK if self.link else WORD, words
 
 
+def _is_mark(name: str) -> bool:
+    """Whether a class, id or role says as a whole that its element is furniture: all its
+    words are marks, or say no more than what kind of box it is. So ``cookie-notice`` and
+    ``footer-links``, but not ``has-sidebar``."""
+    words = {w.lower() for w in _NAME_WORD.findall(name)}
+    return bool(words & MARKS) and all(w in MARKS or w in _BOXES or w.isdigit() for w in words)
+
+
 def _marked(name: str, attributes: str) -> bool:
     """Whether an element is furniture by its name, class, id or role."""
     if name in FURNITURE:
         return True
-    if not attributes or name in CONTENT or name in ("html", "body"):
+    if not attributes or name in CONTENT or name in _UNMARKED:
         return False
-    for found in _NAMED.findall(attributes):
-        if MARKS.intersection(w.lower() for w in _NAME_WORD.findall("".join(found))):
-            return True
-    return False
+    return any(_is_mark(n) for found in _NAMED.findall(attributes) for n in "".join(found).split())
+
+
+class _Open:
+    """Elements that are open, with HTML's implied end tags."""
+
+    def __init__(self) -> None:
+        self._stack: list[str] = []
+        self._at: dict[str, list[int]] = {}  # places in the stack by name
+        self._walls: dict[frozenset[str], list[int]] = {w: [] for w in _WALLS}  # places in the stack
+        self.furniture = -1  # place of the element that is furniture
+
+    def _last(self, name: str) -> int:
+        at = self._at.get(name)
+        return at[-1] if at else -1
+
+    def _cut(self, size: int) -> None:
+        while len(self._stack) > size:
+            name = self._stack.pop()
+            self._at[name].pop()
+            for wall in _WALLS_OF.get(name, ()):
+                self._walls[wall].pop()
+        if self.furniture >= size:
+            self.furniture = -1
+
+    def _end_within(self, name: str, wall: frozenset[str]) -> bool:
+        at, walls = self._last(name), self._walls[wall]
+        if at < 0 or (walls and walls[-1] > at):
+            return False
+        self._cut(at)
+        return True
+
+    def start(self, name: str) -> None:
+        """End what the start of ``name`` ends, then open it."""
+        if self._at.get("head") and name not in _HEAD:
+            self._cut(self._last("head"))
+        for ended, wall in _ENDED_BY.get(name, ()):
+            while any(self._end_within(e, wall) for e in ended):
+                pass
+        if name in _VOID:
+            return
+        for wall in _WALLS_OF.get(name, ()):
+            self._walls[wall].append(len(self._stack))
+        self._at.setdefault(name, []).append(len(self._stack))
+        self._stack.append(name)
+
+    def mark(self) -> None:
+        self.furniture = len(self._stack) - 1
+
+    def end(self, name: str) -> None:
+        """Close the nearest such element and all in it. An end tag in a cell ends nothing
+        outside of its table, and one of an inline element no block."""
+        if self.furniture >= 0 and self._last(name) == self.furniture:
+            self._cut(self.furniture)
+        elif name in _TABLE:
+            self._end_within(name, _TABLES)
+        elif name in BLOCKS or name in _SCOPE:
+            self._end_within(name, _SCOPE if name not in _SCOPE else _NO_WALL)
+        else:
+            self._end_within(name, _BLOCK_WALL)
 
 
 def items(page: str) -> list[Item]:
-    """Words and tags in page order. Furniture lasts to the end tag of its element, or to
-    the start of the marked main text; ``header`` is furniture outside of that."""
+    """Words and tags in page order. Furniture lasts to the end of its element, that is its
+    end tag, one implied by what follows, or the end of its parent, or to the start of the
+    marked main text; ``header`` is furniture outside of that."""
     out: list[Item] = []
     links = content = 0
-    furniture, depth = "", 0  # the element that is furniture, and how deep it is nested
+    opened = _Open()
     position = 0
     while position < len(page):
         match = _TAG.search(page, position)
         text = page[position:match.start() if match else len(page)]
         if text:
             out.append(Item(text=references.unescape(text), link=links > 0,
-                            furniture=depth > 0, content=content > 0))
+                            furniture=opened.furniture >= 0, content=content > 0))
         if not match:
             break
         position = match.end()
@@ -111,19 +213,20 @@ def items(page: str) -> list[Item]:
             position = end.end() if end else len(page)
             out.append(Item(tag=name, furniture=True, content=content > 0))
             continue
-        if depth and name in CONTENT and not closing and not content:
-            furniture, depth = "", 0
+        if name in CONTENT and not closing and not content:
+            opened.furniture = -1
         if name in CONTENT:
             content = max(0, content + (-1 if closing else 1))
         if name == "a":
             links = 0 if closing else 1
-        if depth:
-            if name == furniture and name not in _VOID:
-                depth += -1 if closing else 1
-        elif not closing and name not in _VOID and (
-                _marked(name, attributes) or (name == "header" and not content)):
-            furniture, depth = name, 1
-        out.append(Item(tag=name, furniture=depth > 0, content=content > 0))
+        if closing:
+            opened.end(name)
+        else:
+            opened.start(name)
+            if opened.furniture < 0 and name not in _VOID and (
+                    _marked(name, attributes) or (name == "header" and not content)):
+                opened.mark()
+        out.append(Item(tag=name, furniture=opened.furniture >= 0, content=content > 0))
     return out
 
 

@@ -315,6 +315,28 @@ def test_html_keeps_the_article_alone(spark):
     assert html.learn_weights(pages.filter("false")) == html.DEFAULT_WEIGHTS
 
 
+@pytest.mark.parametrize(("body", "kept"), [
+    ("<p class=notice>We use cookies<p>B b</p><p>C c</p>", "B b C c"),
+    ("<div><p class=notice>We use cookies</div>B b<p>C c", "B b C c"),
+    ("<ul><li class=ad>Buy<li>B b<li>C c</ul>D d", "B b C c D d"),
+    ("<ul><li class=ad>Buy <ul><li>x<li>y</ul> z</ul>D d", "D d"),
+    ("<dl><dt class=promo>Buy<dd>B b<dt>C c</dl>D d", "B b C c D d"),
+    ("<table><tr><td class=ad>Buy<td>B b<tr><td>C c</table>D d", "B b C c D d"),
+    ("<table><tr class=ad><td>Buy<td>x<tr><td>C c</table>D d", "C c D d"),
+    ("<table><tr><td class=ad>Buy<table><tr><td>x</table>y<td>B b</table>D d", "B b D d"),
+    ("<datalist><option class=ad>Buy<option>B b</datalist>D d", "B b D d"),
+    ("<section><div class=ad>Buy<div>x</div></section>D d", "D d"),
+    ("<div class=ad>Buy<div>x</div>y</div>D d<p class=ad>x <b>y</b> z</p>E e", "D d E e"),
+    ("<b><p class=ad>x</b>y</p>D d<span class=ad>x<p>y</span>E e", "D d E e"),
+    ("<h2 id='sharing'>A a</h2><div class='content has-sidebar'>B b</div><div class='cookie-notice'>x</div>"
+     "<div class=footer-links>x</div><div id=adBox1>x</div>C c", "A a B b C c"),
+])
+def test_html_furniture_ends_where_its_element_does(body, kept):
+    for page in (f"<html><head><title>T</title><body><article>{body}</article>", f"<html><body>{body}"):
+        text = " ".join(i.text for i in html.items(page) if not i.tag and not i.furniture)
+        assert " ".join(text.split()) == kept
+
+
 def test_best_region_is_the_maximum():
     rng = random.Random(5)
     for _ in range(200):
