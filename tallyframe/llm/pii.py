@@ -4,12 +4,16 @@ The fixed forms (email, IP address, card, phone) are the seeds. The words right
 after an entity are lexical patterns. Patterns and instances form a graph that is scored in
 rounds: a pattern is as good as the share of its word's occurrences in the whole corpus that
 stand next to an accepted instance, an instance as likely as its patterns together say.
-Candidates, tokens of an identifier's shape that no form covers, are accepted above a
-threshold and then support further patterns.
+Candidates are what no form covers of tokens with digits, ``@`` or ``::``, runs of numbers
+joined by single blanks, and addresses with a spelt ``at``. They are accepted above a
+threshold and then support further patterns, until nothing is added. Words of letters alone
+are no candidates.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +27,6 @@ CONTEXT = 64  # characters looked at for the neighbouring word
 MIN_SUPPORT = 5  # distinct accepted values a pattern must have stood next to
 MIN_CONFIDENCE = 0.5
 ACCEPT = 0.8
-ROUNDS = 3
-MIN_DIGITS = 5
 
 # Stand for a separator between two digits, and for a dot between two letters of a host,
 # in a copy of the text. Single characters, so places stay; the same characters in the text
@@ -103,20 +105,32 @@ def base_spans(text: Column) -> Column:
         _where(text.rlike(r"\+[0-9]"), phone)))
 
 
+# A number that ends its token, a run of such with one blank between, and other tokens.
+_NUMBER_NEXT = rf"(?=\(?[0-9][0-9()./\-]*+[^0-9A-Za-z{_WS}]*+(?:[{_WS}]|\z))"
+_RUN = rf"(?:[^{_WS}0-9]*+[0-9][0-9()./\-]*+\x20{_NUMBER_NEXT})*+[^{_WS}0-9]*+[0-9][^{_WS}]*+"
+_BRACKETED = r"\x20?[(\[{{]\x20?(?i:{})\x20?[)\]}}]\x20?"
+_NAME = r"[A-Za-z0-9\-]++"
+_SPELT = (rf"[A-Za-z0-9._%+\-]++(?:{_BRACKETED.format('at')}{_NAME}(?:(?:{_BRACKETED.format('dot')}|\x20dot\x20|\.){_NAME})*+"
+          rf"|\x20at\x20{_NAME}(?:(?:{_BRACKETED.format('dot')}|\x20dot\x20|\.){_NAME})++)")
+_SHAPES = rf"(?<![^{_WS}])(?:{_SPELT}|{_RUN}|(?=[^{_WS}]*(?:@|::))[^{_WS}]++)"
+# What stands before an identifier in its token: marks, and a name before ``=`` or ``:``.
+_LEAD = (rf"^(?:(?!::|\([0-9]+\)\x20?[0-9])[^0-9A-Za-z+@])*"
+         rf"(?:(?![^{_WS}]*::)[A-Za-z_\-]+[=:][\"']*)?")
+
+
 def _candidates(text: Column) -> Column:
-    """Tokens with digits, without marks at their ends and a name before ``=`` or ``:``."""
-    token = _spans(text, rf"(?<![^{_WS}])[^{_WS}0-9]*+[0-9][^{_WS}]*+", CANDIDATE)
+    """Tokens and runs of them, without marks at their ends and a name before ``=`` or ``:``."""
+    token = _spans(text, _SHAPES, CANDIDATE)
 
     def core(s: Column) -> Column:
-        lead = F.char_length(F.regexp_extract(
-            s["value"], r"^[^0-9A-Za-z+]*(?:[A-Za-z_\-]+[=:][\"']*)?", 0))
-        tail = F.char_length(F.regexp_extract(s["value"], r"[^0-9A-Za-z]*$", 0))
+        lead = F.char_length(F.regexp_extract(s["value"], _LEAD, 0))
+        tail = F.char_length(F.regexp_extract(F.substring(s["value"], lead + 1, F.char_length(s["value"])), r"[^0-9A-Za-z]*$", 0))
         return F.struct(
             (s["start"] + lead).alias("start"), s["kind"].alias("kind"), (s["end"] - tail).alias("end"),
             F.substring(s["value"], lead + 1, F.char_length(s["value"]) - lead - tail).alias("value"))
 
-    return _where(text.rlike("[0-9]"), F.filter(
-        F.transform(token, core), lambda s: F.char_length(_digits(s["value"])) >= MIN_DIGITS))
+    return _where(text.rlike(r"[0-9@]|::|(?i:\bat\b)"), F.filter(
+        F.transform(token, core), lambda s: s["start"] < s["end"]))
 
 
 def _with_context(text: Column, spans: Column) -> Column:
@@ -132,7 +146,7 @@ def _with_context(text: Column, spans: Column) -> Column:
     return F.transform(spans, words)
 
 
-def find_pii(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS,
+def find_pii(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rounds: int | None = None,
              min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
              accept: float = ACCEPT) -> DataFrame:
     """One row per document: ``doc_id``, ``base`` and ``added``, arrays of ``(start, kind, end)``.
@@ -140,7 +154,8 @@ def find_pii(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rou
     Places are code points, the end exclusive; ``kind`` numbers ``KINDS``. ``base`` is sorted
     and never changed by what the contexts add, which does not overlap it. A null or empty
     text has no spans. Identifiers may be null or repeat; rows are told apart by their stored
-    number. An empty table gives no rows.
+    number. An empty table gives no rows. Rounds go on until no span is added, at most
+    ``rounds`` where that is given.
     """
     read = docs.select(
         F.monotonically_increasing_id().alias("key"), F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
@@ -183,7 +198,7 @@ def find_pii(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rou
     no_rows = graph.filter("false").select("key", "start", "end", "kind")
     accepted = no_rows
     known = -1
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         scored = (
             graph.join(accepted.select("key", "start", F.col("kind").alias("_kind")), ["key", "start"], "left")
             .withColumn("label", F.when(F.col("kind") < CANDIDATE, F.col("kind")).otherwise(F.col("_kind")))

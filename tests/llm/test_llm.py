@@ -299,6 +299,28 @@ def test_contexts_find_unseen_identifiers(docs):
     assert got[21].added == []
 
 
+def test_contexts_find_whole_identifiers_of_any_shape(docs):
+    found = ["555 123 4567", "4111 1111 1111 1", "(171) 555-2028", "1234", "ab12", "@bob", "fe80::a", "::1",
+             "bob [at] mail [dot] org", "bob at mail dot org", "bob(at)mail.org"]
+    texts = [f"w{i} call me: +1 988 555 {1000 + i} thanks" for i in range(60)]
+    texts += [f"call me: {f}, thanks" for f in found]
+    texts += ["look at home again", "in 1999 we had 5 cats"]
+    got = {r.doc_id: r for r in pii.find_pii(docs(*texts)).collect()}
+    for i, f in enumerate(found):
+        assert [texts[60 + i][s.start:s.end] for s in got[60 + i].added] == [f]
+    assert got[60 + len(found)].added == got[61 + len(found)].added == []
+
+
+def test_contexts_are_followed_to_their_end(docs):
+    """A chain of contexts, each of which is learnt from what the one before it found."""
+    texts = [f"c0 +1 988 {5550000 + i} c1" for i in range(3750)]
+    for step, size in enumerate((750, 150, 30, 6), start=1):
+        before, after = f"c{step + step % 2}", f"c{step + 1 - step % 2}"
+        texts += [f"{before} {step}a{i}b c{step}" if step % 2 else f"c{step} {step}a{i}b {after}" for i in range(size)]
+    got = {r.doc_id: r for r in pii.find_pii(docs(*texts)).collect()}
+    assert all(len(r.base) + len(r.added) == 1 for r in got.values())
+
+
 def test_html_keeps_the_article_alone(spark):
     page = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav>"
             "<div class='cookie-notice'>We use cookies</div><article><h1>A &amp; B</h1><p>First  line"
