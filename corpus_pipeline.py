@@ -34,12 +34,23 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group; documents without an identifier stay."""
-    joined = ngram_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    copies = stage(joined.filter("component_id != doc_id").select("doc_id").distinct(), "copies")
+    """The row with the smallest identifier of every group, the missing ones last. Rows are
+    told apart by their stored number, so identifiers may be missing or repeat."""
+    rows = mixing.numbered(docs)
+    joined = ngram_join(rows.select("key", F.col("row.text").alias("text")), doc_id="key",
+                        words=NEAR_WORDS, percent=NEAR_PERCENT)
+    # All rows of groups of two and more.
+    others = stage(joined.filter("component_id != doc_id").select(
+        F.col("doc_id").alias("key"), "component_id"), "others")
+    leaders = others.select(F.col("component_id").alias("key"), "component_id").distinct()
+    linked = stage(others.union(leaders), "linked")
+    side = F.broadcast(linked) if fits_broadcast(linked) else linked
+    order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.col("key"))
+    first = rows.join(side, "key").groupBy("component_id").agg(F.min_by("key", order).alias("key"))
+    copies = stage(linked.join(first.select("key"), "key", "left_anti").select("key"), "copies")
     if fits_broadcast(copies):
         copies = F.broadcast(copies)
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(copies, "key", "left_anti").select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

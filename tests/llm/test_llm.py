@@ -88,6 +88,27 @@ def test_ngram_join_without_rows_or_identifiers(docs):
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in rows) == [(0, 0), (7, 7), (7, 7)]
 
 
+def test_near_copies_go_by_row_not_by_identifier(spark, docs):
+    import corpus_pipeline
+
+    def pair(seed):
+        text = words(200, seed, 5000)
+        return " ".join(text), " ".join([*text[:-1], "changed"])
+
+    a, a2 = pair(1)
+    b, b2 = pair(2)
+    c, c2 = pair(3)
+    clean = " ".join(words(100, 4, 5000))
+    # Identifier 5 has a near copy and a clean text, 7 two near copies, c and c2 have none.
+    frame = docs(a2, clean, a, b, b2, c, c2, None, "", ids=[5, 5, 0, 7, 7, None, None, 8, 9])
+    got = corpus_pipeline.drop_near_copies(spark, frame, "")
+    assert got.columns == frame.columns
+    rows = [(r.doc_id, r.text) for r in got.collect()]
+    kept = {t for _, t in rows}
+    assert len(rows) == 6 and {a, clean, None, ""} <= kept and a2 not in kept
+    assert len(kept & {b, b2}) == len(kept & {c, c2}) == 1
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(1, 30)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
