@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import caps, chat, compression, html, licenses, mixing, packing, pii
+from tallyframe.llm import caps, chat, compression, html, lexical, licenses, mixing, packing, pii
 from tallyframe.llm.common import table
 from tallyframe.llm.exact_dedup import exact_dedup
 from tallyframe.llm.ngram_join import ngram_join
@@ -161,3 +161,37 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = docs.select("doc_id", _held_out().alias("held_out"),
                          compression.score(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
+@_query("""
+    WITH t AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+        FROM documents),
+    size AS (SELECT count(*) AS docs, sum(len(terms)) AS total FROM t WHERE len(terms) > 0),
+    posting AS (
+        SELECT doc_id, len, term, count(*) AS tf
+        FROM (SELECT doc_id, len(terms) AS len, unnest(terms) AS term FROM t) GROUP BY ALL),
+    asked AS (
+        SELECT item_id, term, count(*) AS times
+        FROM (SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+              FROM benchmark) GROUP BY ALL),
+    weight AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM posting, size WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+    scored AS (
+        SELECT item_id, doc_id,
+               CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len * docs) // total))))
+                    AS BIGINT) AS score
+        FROM asked JOIN weight USING (term) JOIN posting USING (term), size
+        GROUP BY item_id, doc_id),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+        FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""")
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
