@@ -12,6 +12,7 @@ from tallyframe.llm import caps, chat, compression, html, lexical, licenses, mix
 from tallyframe.llm.common import table
 from tallyframe.llm.exact_dedup import exact_dedup
 from tallyframe.llm.ngram_join import ngram_join
+from tallyframe.llm.substrings import dedup_substrings
 from tallyframe.plans.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +164,36 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
 
 
+@_query("""
+    WITH token AS (
+        SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p
+        FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+              FROM documents)),
+    framed AS (
+        SELECT doc_id, p, word, count(*) OVER ahead AS size, string_agg(word, ' ') OVER ahead AS words
+        FROM token
+        WINDOW ahead AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+    first AS (SELECT words, min(doc_id) AS least FROM framed WHERE size = 13 GROUP BY words),
+    hit AS (
+        SELECT doc_id, p, word, size = 13 AND doc_id > least AS starts
+        FROM framed LEFT JOIN first USING (words)),
+    covered AS (
+        SELECT doc_id, p, word, bool_or(starts) OVER (
+            PARTITION BY doc_id ORDER BY p ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+        FROM hit),
+    kept AS (
+        SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+               string_agg(word, ' ' ORDER BY p) FILTER (NOT coalesce(gone, false)) AS text
+        FROM covered GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM documents d LEFT JOIN kept USING (doc_id)
+""")
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_substrings(table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query("""
     WITH t AS (
         SELECT doc_id, regexp_extract_all(
