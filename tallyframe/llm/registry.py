@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import caps, chat, compression, html, lexical, licenses, mixing, packing, pii
+from tallyframe.llm.collocations import mine_phrases
 from tallyframe.llm.common import table
 from tallyframe.llm.exact_dedup import exact_dedup
 from tallyframe.llm.ngram_join import ngram_join
@@ -194,6 +195,44 @@ def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query("""
+    WITH piece AS (
+        SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\\x0A-\\x0D]')) AS piece
+              FROM documents)),
+    size AS (SELECT lang, sum(len(words)) AS n FROM piece GROUP BY lang),
+    place AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS p FROM piece),
+    gram AS (
+        SELECT lang, k, array_to_string(words[p:p + k - 1], ' ') AS phrase
+        FROM place, range(1, 6) AS r(k) WHERE p + k - 1 <= len(words)),
+    f AS (
+        SELECT lang, k, phrase, count(*) AS a, string_split(phrase, ' ') AS w
+        FROM gram GROUP BY lang, k, phrase HAVING count(*) >= 100),
+    inner_of AS (
+        SELECT DISTINCT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a
+        FROM f, range(1, 5) AS i(i), range(2, 5) AS m(m) WHERE k > m AND i + m - 1 <= k),
+    cut AS (
+        SELECT f.lang, f.phrase, f.a, c, l.a AS l, r.a AS r, n,
+               CAST((1000::HUGEINT * f.a * n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+        FROM f JOIN range(1, 5) AS cuts(c) ON c < f.k
+        JOIN f l ON l.lang = f.lang AND l.phrase = array_to_string(f.w[1:c], ' ')
+        JOIN f r ON r.lang = f.lang AND r.phrase = array_to_string(f.w[c + 1:], ' ')
+        JOIN size ON size.lang = f.lang
+        WHERE NOT EXISTS (SELECT 1 FROM inner_of x WHERE x.lang = f.lang AND x.phrase = f.phrase AND x.a >= f.a)),
+    least AS (
+        SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+        FROM least)
+    SELECT * FROM ranked WHERE rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents")).drop("cut")
+
+
 @_query("""
     WITH t AS (
         SELECT doc_id, regexp_extract_all(
