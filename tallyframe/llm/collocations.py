@@ -222,7 +222,7 @@ def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", le
             chosen, bucket = chosen[order], bucket[order]
             texts = suffixes.texts(chosen, suffixes.words[chosen])
             places, firsts = np.unique(bucket, return_index=True)
-            ends = np.append(firsts[1:], len(chosen))
+            ends = np.append(firsts[1:], len(chosen))[:len(firsts)]
             for place, low, high in zip(places.tolist(), firsts.tolist(), ends.tolist(), strict=True):
                 part = chosen[low:high]
                 data = _packed(suffixes.number[part], known[part], texts[low:high])

@@ -38,6 +38,8 @@ _TERM_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256))
 
+_NO_ID = -1 << 63  # behind all negated identifiers
+
 INDEX = "doc_id long, n long, terms array<int>, tfs array<int>"
 
 
@@ -128,7 +130,7 @@ class Segment:
         order = np.argsort(numbers, kind="stable")
         numbers, self._places, self._impact = numbers[order], places[order], impact[order]
         held, starts = np.unique(numbers, return_index=True)
-        ends = np.append(starts[1:], len(numbers))
+        ends = np.append(starts[1:], len(numbers))[:len(starts)]
         self._range = {int(t): (int(a), int(b)) for t, a, b in zip(held, starts, ends, strict=True)}
         self._weights = corpus.weights
         self._long: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -146,8 +148,8 @@ class Segment:
             self._long[term] = dense, dense.reshape(-1, BLOCK).max(axis=1)
         return self._long[term]
 
-    def search(self, query: Query, k: int, best: list[tuple[int, int, int | None]]) -> None:
-        """Raise ``best``, a heap of ``(score, -doc_id, doc_id)``, by the documents here."""
+    def search(self, query: Query, k: int, best: list[tuple[int, int]]) -> None:
+        """Raise ``best``, a heap of ``(score, -doc_id)``, by the documents here."""
         short, long = [], []
         for term, times in zip(query.terms, query.repeats, strict=True):
             factor = times * self._weights[term]
@@ -181,10 +183,10 @@ class Segment:
                 scores += factor * dense[here]
             for place in np.flatnonzero(scores >= least).tolist():
                 name = self.ids[block * BLOCK + place]
-                entry = (int(scores[place]), -name if name is not None else -(1 << 63), name)
+                entry = (int(scores[place]), _NO_ID if name is None else -name)
                 if len(best) < k:
                     heapq.heappush(best, entry)
-                elif entry[:2] > best[0][:2]:
+                elif entry > best[0]:
                     heapq.heapreplace(best, entry)
             if len(best) == k:
                 least = max(least, best[0][0])
@@ -192,13 +194,14 @@ class Segment:
 
 def _best(index: DataFrame, queries: list[Query], corpus: Corpus, k: int) -> DataFrame:
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[list[tuple[int, int, int | None]]] = [[] for _ in queries]
+        best: list[list[tuple[int, int]]] = [[] for _ in queries]
         for batch in batches:
             if batch.num_rows:
                 segment = Segment(batch, corpus)
                 for query, found in zip(queries, best, strict=True):
                     segment.search(query, k, found)
-        rows = [(place, name, score) for place, found in enumerate(best) for score, _, name in found]
+        rows = [(place, None if name == _NO_ID else -name, score)
+                for place, found in enumerate(best) for score, name in found]
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),

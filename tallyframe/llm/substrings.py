@@ -45,7 +45,7 @@ SAMPLED = 200
 _NO_ID = (1 << 63) - 1  # a missing identifier is the largest
 _SPACE = re.compile(rb"[ \t-\r]")
 
-SPAN = "_id long, _key long, start long, end long"
+SPAN = "_id long, _hash long, start long, end long"
 
 
 @dataclass(frozen=True)
@@ -114,7 +114,7 @@ class SuperKmers:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], window: int, minimiser: int) -> Iterator[SuperKmers]:
-    """Of batches of ``_id``, ``_key`` and text."""
+    """Of batches of ``_id``, ``_hash`` and text."""
     held: list[Stretch] = []
     size = 0
     for batch in batches:
@@ -224,7 +224,7 @@ def _cold_spans(keyed: DataFrame, hot: np.ndarray, buckets: int, window: int, mi
             chosen = chosen[np.argsort(bucket[chosen], kind="stable")]
             texts = kmers.packed(chosen)
             names, firsts = np.unique(bucket[chosen], return_index=True)
-            ends = np.append(firsts[1:], len(chosen))
+            ends = np.append(firsts[1:], len(chosen))[:len(firsts)]
             rows = [compressor.compress(pack(kmers, chosen[a:b], texts[a:b]))
                     for a, b in zip(firsts.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -238,7 +238,7 @@ def _cold_spans(keyed: DataFrame, hot: np.ndarray, buckets: int, window: int, mi
             numbers.append(entries)
             words += text.split(b" ")
         spans = repeated_windows(np.concatenate(numbers, axis=1), words, window)
-        return pa.table([pa.array(row) for row in spans], names=["_id", "_key", "start", "end"])
+        return pa.table([pa.array(row) for row in spans], names=["_id", "_hash", "start", "end"])
 
     return keyed.mapInArrow(dealt, "bucket long, packed binary").groupBy("bucket").applyInArrow(sorted_out, SPAN)
 
@@ -256,14 +256,14 @@ def _hot_spans(keyed: DataFrame, hot: np.ndarray, window: int, minimiser: int) -
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(kmers.doc[of[part]]), pa.array(kmers.key[of[part]]),
                      pa.array(kmers.start[of[part]] + step[part]), pa.array(texts[part], pa.binary())],
-                    ["_id", "_key", "start", "words"])
+                    ["_id", "_hash", "start", "words"])
 
-    rows = keyed.mapInArrow(windows, "_id long, _key long, start long, words binary")
+    rows = keyed.mapInArrow(windows, "_id long, _hash long, start long, words binary")
     several = rows.groupBy("words").agg(F.min("_id").alias("least"), F.max("_id").alias("most"),
                                         F.count("*").alias("n"))
     several = stage(several.filter("least < most").drop("most"), "hot-windows")
     found = lookup(rows, several, "words", "n").filter("_id > least")
-    return found.select("_id", "_key", "start", (F.col("start") + window).alias("end"))
+    return found.select("_id", "_hash", "start", (F.col("start") + window).alias("end"))
 
 
 def _cut(text: Column, spans: Column) -> Column:
@@ -310,18 +310,18 @@ def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_
     # Rows that agree in both also agree in what they lose.
     rows = as_rows(docs).select(
         "row", F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(_NO_ID)).alias("_id"),
-        F.xxhash64(whole).alias("_key"), whole.cast("binary").alias("_text"))
-    keyed = rows.select("_id", "_key", "_text")
+        F.xxhash64(whole).alias("_hash"), whole.cast("binary").alias("_text"))
+    keyed = rows.select("_id", "_hash", "_text")
     text_bytes = keyed.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     hot = _hot_minimisers(keyed, text_bytes, window, minimiser, sampled, seed)
     buckets = max(8 * partitions(spark), math.ceil(text_bytes / bucket_bytes))
     spans = _cold_spans(keyed, hot, buckets, window, minimiser)
     if len(hot):
         spans = spans.unionByName(_hot_spans(keyed, hot, window, minimiser))
-    per_doc = stage(spans.groupBy("_id", "_key").agg(
+    per_doc = stage(spans.groupBy("_id", "_hash").agg(
         F.collect_list(F.struct("start", "end")).alias("_spans")), "spans")
     if fits_broadcast(per_doc):
         per_doc = F.broadcast(per_doc)
-    cut = rows.join(per_doc, ["_id", "_key"], "left").select(
+    cut = rows.join(per_doc, ["_id", "_hash"], "left").select(
         "row", _cut(F.col("_text"), F.col("_spans")).alias("_cut"))
     return cut.select("row", "_cut.n_words", "_cut.n_removed", "_cut.kept")
