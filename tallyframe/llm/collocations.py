@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import partitions, whole_text
-from tallyframe.llm.words import byte_spans, mixed, word_hashes
+from tallyframe.llm.words import Numbers, byte_spans, mixed, word_hashes
 from tallyframe.plans.joins import fits_broadcast, lookup
 from tallyframe.plans.staging import stage
 
@@ -60,7 +60,7 @@ class Suffixes:
 
     def __init__(self, tokens: list[bytes], longest: int) -> None:
         self._tokens = tokens
-        numbers = _Numbers({_END: 0})
+        numbers = Numbers({_END: 0})
         ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
         self._hashes = word_hashes(list(numbers))
         starts = np.flatnonzero(ids)
@@ -270,7 +270,7 @@ class Unpacked:
 
     def __init__(self, packed: pa.ChunkedArray, longest: int) -> None:
         decompressor = zstandard.ZstdDecompressor()
-        numbers = _Numbers({_END: 0})
+        numbers = Numbers({_END: 0})
         entries = [np.empty((2, 0), np.int64)]
         flat = array.array("q")
         for value in packed:
@@ -294,14 +294,6 @@ class Unpacked:
         return b" ".join(self._names[i] for i in self.ids[place, :size])
 
 
-class _Numbers(dict):
-    """Numbers for what is asked, in order of the first time."""
-
-    def __missing__(self, name: bytes) -> int:
-        self[name] = number = len(self)
-        return number
-
-
 def _changes(rows: np.ndarray) -> np.ndarray:
     """Where rows differ from the one before."""
     return np.append(0, np.flatnonzero(np.any(rows[1:] != rows[:-1], axis=1)) + 1)

@@ -17,6 +17,7 @@ and that join back with hot windows broadcast (``plans.joins.lookup``).
 
 from __future__ import annotations
 
+import array
 import math
 import re
 from collections.abc import Iterator
@@ -29,14 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import as_rows, partitions, whole_text
-from tallyframe.llm.words import byte_spans, run_hashes, sliding_least, word_hashes
+from tallyframe.llm.words import Numbers, byte_spans, run_hashes, sliding_least, word_hashes
 from tallyframe.plans.joins import fits_broadcast, lookup
 from tallyframe.plans.staging import stage
 
 WINDOW = 13
 MINIMISER = 3  # words of the runs whose least hash is the minimiser
-CHUNK = 8 << 20  # bytes of text that a task cuts into super-k-mers at a time
-BUCKET_BYTES = 16 << 20  # of text, so some three times as much packed
+CHUNK = 4 << 20  # bytes of text that a task cuts into super-k-mers at a time
+BUCKET_BYTES = 8 << 20  # of text, so some three times as much packed
+BUCKETS = 4  # for each shuffle partition, at least
+SPAN_BYTES = 2 << 20  # of all spans, up to which they are broadcast to the texts
+LEVEL = 3
 LONGEST = 256  # windows of one packed string
 # Super-k-mers sampled for each shuffle partition; a minimiser is hot from a quarter of a
 # mean partition, so at most four are for each partition.
@@ -134,7 +138,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], window: int, minimiser: int) -> I
 
 
 def pack(kmers: SuperKmers, chosen: np.ndarray, texts: list[bytes]) -> bytes:
-    numbers = np.stack([kmers.doc[chosen], kmers.key[chosen], kmers.start[chosen], kmers.size[chosen]])
+    # In order of the documents, so that differences are small.
+    numbers = np.stack([np.diff(kmers.doc[chosen], prepend=0), kmers.key[chosen],
+                        kmers.start[chosen], kmers.size[chosen]])
     return b"".join([np.int64(len(chosen)).tobytes(), numbers.tobytes(), b" ".join(texts)])
 
 
@@ -142,7 +148,9 @@ def unpack(data: bytes) -> tuple[np.ndarray, bytes]:
     """Identifiers, keys, starts and sizes as four rows, and the words."""
     count = int(np.frombuffer(data, np.int64, 1)[0])
     end = 8 * (1 + 4 * count)
-    return np.frombuffer(data[8:end], np.int64).reshape(4, count), data[end:]
+    numbers = np.frombuffer(data[8:end], np.int64).reshape(4, count).copy()
+    numbers[0] = np.cumsum(numbers[0])
+    return numbers, data[end:]
 
 
 def _is_hot(values: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -151,35 +159,34 @@ def _is_hot(values: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.searchsorted(hot, values) % len(hot)] == values
 
 
-def repeated_windows(numbers: np.ndarray, words: list[bytes], window: int) -> np.ndarray:
+def repeated_windows(numbers: np.ndarray, ids: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
     """Spans of the windows that also start in a smaller document, as rows of ``SPAN``.
 
-    ``numbers`` has four rows as ``unpack`` gives them, ``words`` all words in their order.
+    ``numbers`` has four rows as ``unpack`` gives them. ``ids`` are all words in their order,
+    the same number for the same word, and ``hashes`` those of the words by number.
     """
     doc, key, start, size = numbers
     firsts = np.cumsum(size) - size
     owner = np.repeat(np.arange(len(size)), size)
-    hashes = run_hashes(word_hashes(words), window)
-    places = np.flatnonzero(
-        np.arange(len(hashes)) + window <= (firsts + size)[owner[:len(hashes)]])
-    order = places[np.argsort(hashes[places], kind="stable")]
-    sorted_hashes = hashes[order]
-    same = sorted_hashes[1:] == sorted_hashes[:-1]
+    hashed = run_hashes(hashes[ids], window)
+    places = np.flatnonzero(np.arange(len(hashed)) + window <= (firsts + size)[owner[:len(hashed)]])
+    order = places[np.argsort(hashed[places], kind="stable")]
+    ordered = hashed[order]
+    same = ordered[1:] == ordered[:-1]
     several = np.append(same, False) | np.append(False, same)
-    order, sorted_hashes = order[several], sorted_hashes[several]
+    order, ordered = order[several], ordered[several]
     if not len(order):
         return np.empty((4, 0), np.int64)
-    content = b" ".join(words)
-    begin, end = byte_spans(words)
-    texts = [content[a:b] for a, b in zip(
-        begin[order].tolist(), end[order + window - 1].tolist(), strict=True)]
-    new = np.append(True, sorted_hashes[1:] != sorted_hashes[:-1])
-    unequal = np.append(False, [a != b for a, b in zip(texts, texts[1:], strict=False)])
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    unequal = np.zeros(len(order), bool)
+    for i in range(window):
+        word = ids[order + i]
+        unequal[1:] |= word[1:] != word[:-1]
     if (unequal & ~new).any():  # two windows with one hash
-        by_words = sorted(range(len(order)), key=lambda i: (sorted_hashes[i], texts[i]))
+        words = [tuple(ids[place:place + window].tolist()) for place in order]
+        by_words = sorted(range(len(order)), key=lambda i: (ordered[i], words[i]))
         order = order[by_words]
-        texts = [texts[i] for i in by_words]
-        new = np.append(True, [a != b for a, b in zip(texts, texts[1:], strict=False)])
+        new = np.append(True, [words[a] != words[b] for a, b in zip(by_words, by_words[1:], strict=False)])
     groups = np.flatnonzero(new)
     least = np.minimum.reduceat(doc[owner[order]], groups)
     later = doc[owner[order]] > least[np.cumsum(new) - 1]
@@ -217,7 +224,7 @@ def _hot_minimisers(keyed: DataFrame, text_bytes: int, window: int, minimiser: i
 
 def _cold_spans(keyed: DataFrame, hot: np.ndarray, buckets: int, window: int, minimiser: int) -> DataFrame:
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = zstandard.ZstdCompressor(level=1)
+        compressor = zstandard.ZstdCompressor(level=LEVEL)
         for kmers in _chunks(batches, window, minimiser):
             bucket = (kmers.minimiser % np.uint64(buckets)).astype(np.int64)
             chosen = np.flatnonzero(~_is_hot(kmers.minimiser, hot))
@@ -232,12 +239,13 @@ def _cold_spans(keyed: DataFrame, hot: np.ndarray, buckets: int, window: int, mi
 
     def sorted_out(table: pa.Table) -> pa.Table:
         decompressor = zstandard.ZstdDecompressor()
-        numbers, words = [], []
+        numbers, vocabulary, ids = [], Numbers(), array.array("q")
         for data in table.column("packed"):
             entries, text = unpack(decompressor.decompress(data.as_py()))
             numbers.append(entries)
-            words += text.split(b" ")
-        spans = repeated_windows(np.concatenate(numbers, axis=1), words, window)
+            ids.extend(map(vocabulary.__getitem__, text.split(b" ")))
+        spans = repeated_windows(np.concatenate(numbers, axis=1), np.frombuffer(ids, np.int64),
+                                 word_hashes(list(vocabulary)), window)
         return pa.table([pa.array(row) for row in spans], names=["_id", "_hash", "start", "end"])
 
     return keyed.mapInArrow(dealt, "bucket long, packed binary").groupBy("bucket").applyInArrow(sorted_out, SPAN)
@@ -307,20 +315,23 @@ def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_
     """
     spark = docs.sparkSession
     whole = whole_text(f"row.{text}")
-    # Rows that agree in both also agree in what they lose.
     rows = as_rows(docs).select(
         "row", F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(_NO_ID)).alias("_id"),
-        F.xxhash64(whole).alias("_hash"), whole.cast("binary").alias("_text"))
+        whole.cast("binary").alias("_text"))
+    text_bytes = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    # Rows that agree in identifier and text also agree in what they lose. Where no identifier
+    # repeats, the text need not tell rows apart, and no hash of it travels.
+    repeats = not rows.groupBy("_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    rows = rows.withColumn("_hash", F.xxhash64(whole) if repeats else F.lit(0).cast("long"))
     keyed = rows.select("_id", "_hash", "_text")
-    text_bytes = keyed.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     hot = _hot_minimisers(keyed, text_bytes, window, minimiser, sampled, seed)
-    buckets = max(8 * partitions(spark), math.ceil(text_bytes / bucket_bytes))
+    buckets = max(BUCKETS * partitions(spark), math.ceil(text_bytes / bucket_bytes))
     spans = _cold_spans(keyed, hot, buckets, window, minimiser)
     if len(hot):
         spans = spans.unionByName(_hot_spans(keyed, hot, window, minimiser))
     per_doc = stage(spans.groupBy("_id", "_hash").agg(
         F.collect_list(F.struct("start", "end")).alias("_spans")), "spans")
-    if fits_broadcast(per_doc):
+    if fits_broadcast(per_doc, max_bytes=SPAN_BYTES):
         per_doc = F.broadcast(per_doc)
     cut = rows.join(per_doc, ["_id", "_hash"], "left").select(
         "row", _cut(F.col("_text"), F.col("_spans")).alias("_cut"))

@@ -10,6 +10,14 @@ import xxhash
 _U = np.uint64
 
 
+class Numbers(dict):
+    """Numbers for what is asked, in order of the first time."""
+
+    def __missing__(self, name: bytes) -> int:
+        self[name] = number = len(self)
+        return number
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)

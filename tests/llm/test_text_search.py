@@ -69,6 +69,13 @@ def half_hot(monkeypatch, rows, window=13, minimiser=3):
     monkeypatch.setattr(substrings, "_hot_minimisers", lambda *a: found[::2])
 
 
+def test_identifiers_that_do_not_repeat(spark):
+    rows = [row for i, row in enumerate(passages()) if row[0] is not None and row[0] > 3]
+    assert len({i for i, _, _ in rows}) == len(rows)
+    cut = dedup_substrings(table(spark, rows))
+    assert sorted((r["n_words"], r["n_removed"], r["kept"]) for r in cut.collect()) == cut_by_force(rows, 13)
+
+
 @pytest.mark.parametrize("hot", [False, True])
 @pytest.mark.parametrize("parameters", [
     {}, {"window": 5, "minimiser": 2}, {"window": 13, "minimiser": 13}, {"bucket_bytes": 1 << 10}])
@@ -85,7 +92,7 @@ def test_repeated_passages_go(spark, monkeypatch, parameters, hot):
 def test_hot_windows_join_in_a_shuffle(spark, monkeypatch):
     rows = passages()
     half_hot(monkeypatch, rows)
-    monkeypatch.setattr(substrings, "fits_broadcast", lambda *a: False)
+    monkeypatch.setattr(substrings, "fits_broadcast", lambda *a, **k: False)
     monkeypatch.setattr("tallyframe.plans.joins.fits_broadcast", lambda *a: False)
     cut = dedup_substrings(table(spark, rows))
     assert sorted((r["n_words"], r["n_removed"], r["kept"]) for r in cut.collect()) == cut_by_force(rows, 13)
@@ -114,9 +121,9 @@ def test_a_text_is_read_in_stretches(monkeypatch):
 
 def test_windows_with_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(substrings, "run_hashes", lambda h, n: np.zeros(max(len(h) - n + 1, 0), np.uint64))
-    words = b"a b c a b d a b c".split()
+    ids = np.array([0, 1, 2, 0, 1, 3, 0, 1, 2])
     numbers = np.array([[1, 2, 3], [7, 8, 9], [0, 5, 10], [3, 3, 3]])
-    assert repeated_windows(numbers, words, 3).T.tolist() == [[3, 9, 10, 13]]
+    assert repeated_windows(numbers, ids, np.arange(4, dtype=np.uint64), 3).T.tolist() == [[3, 9, 10, 13]]
 
 
 def test_no_documents(spark):
