@@ -36,10 +36,22 @@ def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_placements(table(spark, sf_dir, "events"))
 
 
-def placements_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = spark.readStream.schema(SCHEMAS["events"])
-    # As a pattern, the path may be a file or a folder of files.
-    return _as_placements(stream.parquet(f"{sf_dir}/events.parque[t]"))
+def arrivals(placements: DataFrame, count: int = 3, late: str = "1 day") -> list[DataFrame]:
+    """The placements in the parts in which they arrive, by time.
+
+    A seventh of the rows of the last ``late`` before a part ends come with the next one.
+    """
+    lo, hi = placements.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / count
+    edges = [lo + step * (i + 1) for i in range(count - 1)]
+    kind = placements.schema["ts"].dataType
+    part = F.lit(0)
+    for edge in edges:
+        end = F.lit(edge).cast(kind)
+        is_late = (F.col("ts") >= end - F.expr(f"INTERVAL {late}")) & (F.pmod(F.xxhash64("ts", "user_id"), F.lit(7)) == 0)
+        part = part + F.when((F.col("ts") >= end) | is_late, 1).otherwise(0)
+    numbered = placements.withColumn("_part", part)
+    return [numbered.filter(F.col("_part") == i).drop("_part") for i in range(count)]
 
 
 def _as_placements(events: DataFrame) -> DataFrame:

@@ -7,15 +7,16 @@ of each question, not the way the operator computes it.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyframe import fixtures
 from tallyframe import operators as ops
 from tallyframe.functions import Box
-from tallyframe.plans import new_staging_path
+from tallyframe.plans import new_staging_path, stage
 from tallyframe.sources import (
     ingest_election_archive,
     ingest_election_csvs,
@@ -29,10 +30,18 @@ from tallyframe.sources import (
 )
 from tallyframe.sources.archive import LINE_SCHEMA
 from tallyframe.streaming import (
+    UserIds,
     append_to_table,
+    compact_hour_counts,
     count_hours_in_batches,
+    distinct_users_in_batches,
+    first_time_users_so_far,
+    first_times_in_batches,
+    rank_by_distinct_users_so_far,
     read_hour_counts,
     read_placements_stream,
+    read_sessions,
+    sessions_in_batches,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -664,16 +673,58 @@ def ingest_placements_incrementally(spark, sf_dir):
     return _typed(spark.read.parquet(table))
 
 
+def _as_they_arrive(spark: SparkSession, sf_dir: str,
+                    run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Let ``run`` take the placements in parts, each by a query that goes on from the last."""
+    folder = new_staging_path(spark, "arrivals")
+    whole = fixtures.placements(spark, sf_dir).withColumn("ts", _instant("ts"))
+    for part in fixtures.arrivals(whole):
+        part.write.mode("append").parquet(folder)
+        run(spark.readStream.schema(part.schema).parquet(folder)).awaitTermination()
+
+
 @_query(f"""
 WITH {_PLACEMENTS}, {_HOURLY}
 SELECT hour, coordinate, changes FROM hourly""")
 def hourly_counts_incrementally(spark, sf_dir):
-    stream = fixtures.placements_stream(spark, sf_dir).withColumn("ts", _instant("ts"))
-    table = new_staging_path(spark, "hourly")
-    count_hours_in_batches(stream, "coordinate", table, new_staging_path(spark, "offsets")).awaitTermination()
+    table, offsets = new_staging_path(spark, "hourly"), new_staging_path(spark, "offsets")
+    _as_they_arrive(spark, sf_dir, lambda stream: count_hours_in_batches(stream, "coordinate", table, offsets))
+    compact_hour_counts(spark, table, "coordinate")
     return read_hour_counts(spark, table, "coordinate").select(_utc("hour"), "coordinate", "changes")
 
 
+@_query(ORACLE["user_sessions"])
+def user_sessions_incrementally(spark, sf_dir):
+    table, offsets = new_staging_path(spark, "sessions"), new_staging_path(spark, "offsets")
+    _as_they_arrive(spark, sf_dir, lambda stream: sessions_in_batches(stream, table, offsets, lateness="1 day"))
+    rows = read_sessions(spark, table, offsets)
+    return _rounded(rows.withColumns({"first_ts": _utc("first_ts"), "last_ts": _utc("last_ts")}))
+
+
+@_query(ORACLE["first_time_users"])
+def first_time_users_incrementally(spark, sf_dir):
+    table, offsets = new_staging_path(spark, "first-times"), new_staging_path(spark, "offsets")
+    _as_they_arrive(spark, sf_dir, lambda stream: first_times_in_batches(stream, table, offsets))
+    return first_time_users_so_far(spark, table, *NEWCOMERS)
+
+
+# With so few users as in the test tables the sketches hold them all.
+@_query(ORACLE["colors_by_distinct_users"])
+def colors_by_distinct_users_incrementally(spark, sf_dir):
+    table, offsets = new_staging_path(spark, "sketches"), new_staging_path(spark, "offsets")
+    _as_they_arrive(spark, sf_dir, lambda stream: distinct_users_in_batches(stream, "pixel_color", table, offsets))
+    return rank_by_distinct_users_so_far(spark, table, "pixel_color", *WEEK)
+
+
+@_query(ORACLE["encode_user_ids"])
+def encode_user_ids_incrementally(spark, sf_dir):
+    """Parts by time, so that the ids are those of one pass."""
+    whole = fixtures.placements(spark, sf_dir)
+    ids = UserIds(spark, new_staging_path(spark, "user-ids"))
+    parts = [stage(ids.encode(part, i), "encoded") for i, part in enumerate(fixtures.arrivals(whole, late="0 days"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _CSV_ROWS = _ELECTION + """
 SELECT office, precinct,
        CASE WHEN CAST(right(state, 2) AS INTEGER) % 3 = 2 THEN '' ELSE party END AS party,

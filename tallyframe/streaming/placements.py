@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyframe.functions.nulls import with_values
 from tallyframe.functions.text import normalized
 from tallyframe.sources.placements import CSV_SCHEMA, typed_placements
+from tallyframe.streaming.batches import BatchTable
 
 
 def read_placements_stream(spark: SparkSession, folder: str, *,
@@ -26,34 +27,36 @@ def read_placements_stream(spark: SparkSession, folder: str, *,
     return typed_placements(raw, on_bad_time=on_bad_time)
 
 
+def _hour_counts(spark: SparkSession, path: str, key: str, name: str) -> BatchTable:
+    return BatchTable(spark, path, ["hour", key], {name: F.sum})
+
+
 def count_hours_in_batches(events: DataFrame, key: str, path: str, checkpoint: str, *, ts: str = "ts",
-                           normalize: bool = True, name: str = "changes") -> StreamingQuery:
+                           normalize: bool = True, name: str = "changes",
+                           replace: bool = False) -> StreamingQuery:
     """Add the counts per hour and value of ``key`` of what has arrived, and stop.
 
-    Every batch writes its own counts to its own folder of ``path``, which a retry of the
-    batch overwrites. Nothing is kept between batches and nothing is late: an event of any
-    hour counts when it arrives. ``read_hour_counts`` sums the batches.
+    Nothing is kept between batches and nothing is late: an event of any hour counts when it
+    arrives, and once, also if its batch is run again. ``read_hour_counts`` sums the
+    batches. Another checkpoint than the one that fed the table so far is an error, or with
+    ``replace`` begins anew.
     """
     rows = with_values(events, ts, key)
     rows = rows.select(F.date_trunc("hour", ts).alias("hour"),
                        (normalized(key) if normalize else F.col(key)).alias(key))
+    table = _hour_counts(events.sparkSession, path, key, name)
+    return table.feed(rows, lambda batch: batch.groupBy("hour", key).agg(F.count("*").alias(name)),
+                      checkpoint, replace=replace)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy("hour", key).agg(F.count("*").alias(name))
-        counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (
-        rows.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def read_hour_counts(spark: SparkSession, path: str, key: str, *, name: str = "changes") -> DataFrame:
+    """Counts per hour and value over all committed batches."""
+    return _hour_counts(spark, path, key, name).read()
 
 
-def read_hour_counts(spark: SparkSession, path: str, key: str, *, name: str = "changes") -> DataFrame:
-    """Counts per hour and value over all batches so far."""
-    parts = spark.read.parquet(path)
-    return parts.groupBy("hour", key).agg(F.sum(name).alias(name))
+def compact_hour_counts(spark: SparkSession, path: str, key: str, *, name: str = "changes") -> bool:
+    """Merge the batches into one, for the next readers."""
+    return _hour_counts(spark, path, key, name).compact()
 
 
 def append_to_table(stream: DataFrame, path: str, checkpoint: str,
