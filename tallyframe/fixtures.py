@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import io
 import zipfile
 
 import pandas as pd
@@ -144,16 +144,15 @@ def write_election_tree(rows: DataFrame, root: str) -> None:
         )
 
 
-def write_election_archives(rows: DataFrame, folder: str) -> None:
-    """One zip archive per task, with a member per state and year, and some to be ignored."""
-    folder = folder.removeprefix("file:")
-    os.makedirs(folder, exist_ok=True)
+def write_election_archives(rows: DataFrame, folder: str) -> str:
+    """One zip archive per task, with a member per state and year, and some to be ignored.
 
-    def write_zip(batches):
+    Spark writes the archives, as lines of text of one each. Returns the pattern of their names.
+    """
+    def zipped(batches):
         task = TaskContext.get().partitionId()
-        name = f"{folder}/{task}.zip"
-        n = 0
-        with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("notes/README.md", "not a table")
             z.writestr("r/openelections-data-00/2000/x__special__general__00__precinct.csv", "a\n")
             z.writestr("r/openelections-data-00/2000/x__general__00__county.csv", "a\n")
@@ -168,13 +167,13 @@ def write_election_archives(rows: DataFrame, folder: str) -> None:
                         member = z.open(f"r/{state}/{year}/{file}", "w")
                         member.write(b"office,precinct,party,votes\n")
                     member.write(line.encode() + b"\n")
-                    n += 1
             if member is not None:
                 member.close()
-        yield pd.DataFrame({"lines": [n]})
+        yield pd.DataFrame({"archive": [content.getvalue()]})
 
     line = F.concat_ws(",", "office", "precinct", "party", F.col("votes").cast("string"))
     # The precinct spreads a state that holds much of the data.
     spread = rows.repartition("state", "year", "precinct")
     ordered = spread.select("state", "year", line.alias("line")).sortWithinPartitions("state", "year")
-    ordered.mapInPandas(write_zip, "lines bigint").agg(F.sum("lines")).collect()
+    ordered.mapInPandas(zipped, "archive binary").select(F.col("archive").cast("string")).write.text(folder)
+    return f"{folder}/part-*"

@@ -13,6 +13,10 @@ class Folder:
         self._path = self._jvm.org.apache.hadoop.fs.Path(path)
         self._files = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def is_folder(self) -> bool:
+        """False for files, patterns and what is not there."""
+        return self._files.exists(self._path) and self._files.getFileStatus(self._path).isDirectory()
+
     def _child(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(self._path, name)
 

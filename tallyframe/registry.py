@@ -761,8 +761,7 @@ def ingest_election_skipped(spark, sf_dir):
 @lru_cache(maxsize=8)
 def _archive(spark: SparkSession, sf_dir: str) -> str:
     folder = new_staging_path(spark, "election-zip")
-    fixtures.write_election_archives(fixtures.election(spark, sf_dir), folder)
-    return folder
+    return fixtures.write_election_archives(fixtures.election(spark, sf_dir), folder)
 
 
 @_query(f"""

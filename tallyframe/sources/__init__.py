@@ -1,6 +1,11 @@
 """Readers and writers."""
 
-from tallyframe.sources.archive import PrecinctArchive, read_archive_members, write_members
+from tallyframe.sources.archive import (
+    member_lines,
+    open_archives,
+    read_archive_members,
+    write_members,
+)
 from tallyframe.sources.election_csv import (
     Ingested,
     conform_lines,
@@ -18,12 +23,13 @@ from tallyframe.sources.tables import read_results, write_results, write_table
 __all__ = [
     "STATE_ABBREVIATIONS",
     "Ingested",
-    "PrecinctArchive",
     "conform_lines",
     "ingest_election_archive",
     "ingest_election_csvs",
     "ingest_placements",
     "load_population",
+    "member_lines",
+    "open_archives",
     "read_archive_members",
     "read_placements_csv",
     "read_results",

@@ -7,7 +7,7 @@ layout or a vote count does not fit is left out as a whole and reported.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.plans.joins import lookup, without_members
 from tallyframe.plans.staging import stage
-from tallyframe.sources.archive import read_archive_members
+from tallyframe.sources.archive import member_lines, open_archives
 
 # The wanted columns and the spellings of a missing number.
 TEXT_COLUMNS = ("office", "precinct", "party")
@@ -39,16 +39,19 @@ def _field_count(line: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
 
 
-def _with_fields(df: DataFrame, line: str, width: int, name: str) -> DataFrame:
-    """Add the first ``width`` fields of a CSV line as an array.
+def _with_fields(df: DataFrame, line: str, widths: Sequence[int], name: str, width: Column) -> DataFrame:
+    """Add the first fields of a CSV line as an array, as many as ``width``, one of ``widths``.
 
-    The parsed struct is a column of its own, so that a line is parsed once and
-    not once per field.
+    The parsed structs are columns of their own, of which the one of a line's width is not
+    null, so that a line is parsed once and not once per field or width.
     """
-    columns = [f"c{i}" for i in range(width)]
-    parsed = F.from_csv(line, ", ".join(f"{c} string" for c in columns), CSV_OPTIONS)
-    df = df.withColumn("_parsed", parsed)
-    return df.withColumn(name, F.array(*(F.col("_parsed")[c] for c in columns))).drop("_parsed")
+    parsed = {w: f"_parsed{w}" for w in widths}
+    df = df.withColumns({column: F.when(width == w, F.from_csv(
+        line, ", ".join(f"c{i} string" for i in range(w)), CSV_OPTIONS)) for w, column in parsed.items()})
+    fields = F.coalesce(*(
+        F.when(F.col(column).isNotNull(), F.array(*(F.col(column)[f"c{i}"] for i in range(w))))
+        for w, column in parsed.items()))
+    return df.withColumn(name, fields).drop(*parsed.values())
 
 
 def _from_path(file: Column, level: int) -> Column:
@@ -66,7 +69,7 @@ def _layouts(headers: DataFrame) -> tuple[DataFrame, list[int]]:
     """
     width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
     text = headers.withColumn("_text", F.regexp_replace("header", "^\ufeff", ""))
-    layout = _with_fields(text, "_text", width, "_fields").withColumn(
+    layout = _with_fields(text, "_text", [width], "_fields", F.lit(width)).withColumn(
         "_names", F.slice("_fields", 1, _field_count(F.col("_text"))))
     places = [F.array_position("_names", c).cast("int") for c in (*TEXT_COLUMNS, VOTES)]
     power = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(*places, F.lit(1))))).cast("int")
@@ -93,12 +96,8 @@ def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool
     """
     layouts, widths = _layouts(headers)
     lines = lines.select("file", "line", "valid").filter(F.col("line") != "")
-    parts = []
-    for width in widths or [1]:
-        # Only the lines of these files are joined.
-        alike = layouts.filter(F.col("_parse") == width)
-        parts.append(_with_fields(lookup(lines, alike, "file", "weight", **join_limits), "line", width, "_f"))
-    parsed = reduce(DataFrame.unionByName, parts)
+    joined = lookup(lines, layouts, "file", "weight", **join_limits)
+    parsed = _with_fields(joined, "line", sorted(widths) or [1], "_f", F.col("_parse"))
 
     def field(name: str) -> Column:
         place = F.col(f"_at_{name}")
@@ -168,8 +167,9 @@ def ingest_election_csvs(spark: SparkSession, root: str, **join_limits: int) ->
 
 def ingest_election_archive(spark: SparkSession, path: str, **join_limits: int) -> Ingested:
     """The same for zip archives, without extracting them."""
-    lines = read_archive_members(spark, path)
-    headers = read_archive_members(spark, path, headersOnly=True).select(
+    members = open_archives(spark, path)
+    lines = member_lines(members)
+    headers = member_lines(members, headersOnly=True).select(
         "file", F.col("line").alias("header"), "valid", F.col("file_bytes").alias("weight"), "state", "year")
     return conform_lines(lines.filter(F.col("line_no") > 0), stage(headers, "headers"),
                          header_in_lines=False, **join_limits)
