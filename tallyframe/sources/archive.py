@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from tallyframe.plans.files import Folder
 from tallyframe.plans.joins import fits_broadcast
-from tallyframe.plans.ranking import with_row_index
 from tallyframe.plans.staging import stage
 
 # These functions run in Python workers, which need not have this package installed.
@@ -48,6 +47,7 @@ ENTRY, END = b"PK\x03\x04", b"PK\x05\x06"
 HEADER = 26
 
 GROUP_BYTES = 128 << 20
+LEAST_BYTES = 2 << 20
 BLOCK_BYTES = 4 << 20
 HEADER_BYTES = 64 << 10
 
@@ -148,41 +148,40 @@ def _check_directories(spark: SparkSession, path: str, ends: DataFrame) -> None:
 
 
 def _wanted_members(spark: SparkSession, path: str) -> DataFrame:
-    """The wanted members with what follows their signatures, ``data``, staged.
+    """The wanted members with what follows their signatures, ``data``, read from a staged table.
 
     One scan of the archives, whose tasks may share an archive; directories are read in tasks
     too. A further scan, of the archives concerned, is for members whose data hold the
     signature, or that occur in the same form within another entry.
     """
-    named = F.decode(F.expr(f"substring(data, {HEADER + 1}, int(name_bytes))"), "ISO-8859-1")
+    raw_name = F.expr(f"substring(data, {HEADER + 1}, int(name_bytes))")
     entries = _entries(spark, path).withColumn("name_bytes", _little_endian(22, 2)).withColumns({
+        "raw_name": raw_name,
         "is_end": F.contains("data", F.lit(END)),
         # Coarse, on bytes: the directory decides.
-        "may_be": F.coalesce(named.rlike("__general__.*precinct[.]csv$"), F.lit(False))})
-    stored = stage(entries.filter("is_end or may_be"), "entries")
+        "may_be": F.coalesce(F.decode(raw_name, "ISO-8859-1").rlike("__general__.*precinct[.]csv$"), F.lit(False))})
+    stored = stage(entries.filter("is_end or may_be").select(
+        "archive", "size", "at", "is_end", "may_be", "raw_name", _little_endian(10, 4).alias("_crc"),
+        (F.octet_length("data") - HEADER - F.col("name_bytes") - _little_endian(24, 2)).alias("_packed"), "data"),
+        "entries")
     # Ends of archives within an archive come before its own.
     ends = stored.filter("is_end").groupBy("archive").agg(
         F.max("size").alias("size"), F.max_by("data", "at").alias("data"))
-    _check_directories(spark, path, ends)
     members = stage(ends.mapInArrow(_read_directories, _MEMBER), "members")
+    _check_directories(spark, path, stored.filter("is_end").select("archive"))
 
-    found = stored.filter("may_be").select(
-        "archive", F.expr(f"substring(data, {HEADER + 1}, int(name_bytes))").alias("raw_name"),
-        _little_endian(10, 4).alias("_crc"), "data",
-        (F.lit(HEADER) + F.col("name_bytes") + _little_endian(24, 2)).alias("_before"))
     side = F.broadcast(members) if fits_broadcast(members) else members
     streamed = F.col("flags").bitwiseAND(8) != 0  # its entry does not know its checksum
-    matched = found.join(side, ["archive", "raw_name"]).filter(
-        (streamed | (F.col("_crc") == F.col("crc")))
-        & (F.octet_length("data") >= F.col("_before") + F.col("packed_bytes")))
+    matched = stored.filter("may_be").join(side, ["archive", "raw_name"]).filter(
+        (streamed | (F.col("_crc") == F.col("crc"))) & (F.col("_packed") >= F.col("packed_bytes")))
     names = [name for name, _ in _MEMBER_FIELDS]
-    matched = stage(matched.select(*names, "data"), "matched")
+    matched = matched.select(*names, "data")
     once = matched.groupBy("archive", "offset").agg(F.count("*").alias("n")).filter("n = 1")
     odd = stage(members.join(once, ["archive", "offset"], "left_anti"), "odd")
     if odd.isEmpty():
         return matched
     even = matched.join(odd.select("archive", "offset"), ["archive", "offset"], "left_anti")
-    return stage(even.unionByName(_by_offset(spark, path, odd).select(*names, "data")), "matched")
+    return even.unionByName(stage(_by_offset(spark, path, odd).select(*names, "data"), "odd-members"))
 
 
 def _by_offset(spark: SparkSession, path: str, odd: DataFrame) -> DataFrame:
@@ -246,7 +245,7 @@ def _member_lines(member: dict, headers_only: bool) -> Iterator[pa.RecordBatch]:
 
 
 def open_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The wanted members of one archive, a folder of them, or a pattern; still packed, staged.
+    """The wanted members of one archive, a folder of them, or a pattern, still packed.
 
     Read by Spark, so the archives may be wherever it reads. An archive that is cut off is an error.
     """
@@ -255,16 +254,16 @@ def open_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def member_lines(members: DataFrame, *, groupBytes: int = GROUP_BYTES, headersOnly: bool = False) -> DataFrame:
     """The lines of the members of ``open_archives``; see ``read_archive_members``."""
-    size = members.agg(F.count("*").alias("n"), F.sum("file_bytes").alias("bytes")).first()
-    groups = max(1, min(size["n"], math.ceil((size["bytes"] or 0) / groupBytes)))
-    if groups == 1:
-        dealt = members.coalesce(1)
+    if headersOnly:
+        dealt = members
     else:
-        # From the largest on in turn, so that groups are of a size.
-        order = [F.col("file_bytes").desc(), F.col("archive"), F.col("offset")]
-        turns = with_row_index(members.select("archive", "offset", "file_bytes"), order, "turn").select(
-            "archive", "offset", (F.col("turn") % groups).cast("int").alias("turn"))
-        dealt = members.join(turns, ["archive", "offset"]).repartitionById(groups, "turn").drop("turn")
+        size = members.agg(F.count("*").alias("n"), F.sum("file_bytes").alias("bytes")).first()
+        held = size["bytes"] or 0
+        # Small archives too are for all cores.
+        few = min(members.sparkSession.sparkContext.defaultParallelism, math.ceil(held / LEAST_BYTES))
+        groups = max(1, min(size["n"], max(few, math.ceil(held / groupBytes))))
+        turn = F.pmod(F.xxhash64("archive", "offset"), F.lit(groups)).cast("int")
+        dealt = members.coalesce(1) if groups == 1 else members.repartitionById(groups, turn)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
