@@ -54,7 +54,17 @@ def arrivals(placements: DataFrame, count: int = 3, late: str = "1 day") -> list
     return [numbered.filter(F.col("_part") == i).drop("_part") for i in range(count)]
 
 
-def _as_placements(events: DataFrame) -> DataFrame:
+def messy_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The placements with a NULL time, user or colour in some rows."""
+    events = table(spark, sf_dir, "events")
+    number = F.col("event_id")
+    rows = _as_placements(events, "event_id")
+    return rows.select(
+        F.when(number % 10 != 0, F.col("ts")).alias("ts"), F.when(number % 8 != 1, F.col("user_id")).alias("user_id"),
+        F.when(number % 9 != 2, F.col("pixel_color")).alias("pixel_color"), "coordinate")
+
+
+def _as_placements(events: DataFrame, *kept: str) -> DataFrame:
     kind = F.col("event_type")
     form = F.col("event_id") % 3
     color = (
@@ -65,16 +75,17 @@ def _as_placements(events: DataFrame) -> DataFrame:
     x = F.floor(F.col("value") / 10).cast("int").cast("string")
     y = (F.col("user_id") % 10).cast("string")
     return events.select(
-        "ts", "user_id", color.alias("pixel_color"), F.concat_ws(",", x, y).alias("coordinate"))
+        "ts", "user_id", color.alias("pixel_color"), F.concat_ws(",", x, y).alias("coordinate"), *kept)
 
 
-def election(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw precinct rows, one per order line."""
+def _election_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw precinct rows, one per order line, with its keys."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     joined = (
         # Orders grow with the lines, so the two are shuffled at any size.
         lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -93,9 +104,33 @@ def election(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("openelections-data-"),
                  F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("state"),
         F.year("o_orderdate").cast("string").alias("year"),
+        "l_orderkey", "l_partkey", "l_linenumber", "n_nationkey",
     )
 
 
+RAW_COLUMNS = ("office", "precinct", "party", "votes", "state", "year")
+
+
+def election(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw precinct rows, one per order line."""
+    return _election_lines(spark, sf_dir).select(*RAW_COLUMNS)
+
+
+def messy_election(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows with what cleaning and profiles are for: NULLs, blanks, negative votes, and a
+    state with a thousand times the votes."""
+    order, part = F.col("l_orderkey"), F.col("l_partkey") % 7
+    votes = F.col("votes")
+    return _election_lines(spark, sf_dir).withColumns({
+        "office": F.when(order % 11 != 0, F.col("office")),
+        "precinct": F.when(order % 13 == 0, None).when(order % 13 == 1, "").when(order % 13 == 2, "  ")
+        .otherwise(F.col("precinct")),
+        "party": F.when(part == 0, None).when(part == 1, " ").otherwise(F.col("party")),
+        "votes": F.when(F.col("l_linenumber") == 3, -votes).when(order % 17 == 0, None)
+        .when(F.col("n_nationkey") == 7, votes * 1000).otherwise(votes),
+    }).select(*RAW_COLUMNS)
+
+
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -121,6 +156,19 @@ def write_placements_csv(rows: DataFrame, path: str) -> None:
         path, header=True, compression="gzip", **_KEEP_SPACES)
 
 
+def write_messy_placements_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The same, with some times that are none: words, a bare date, another zone, no time."""
+    rows = _as_placements(table(spark, sf_dir, "events"), "event_id")
+    good = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" UTC"))
+    kind = F.col("event_id") % 10
+    text = (
+        F.when(kind == 0, "no time").when(kind == 1, F.date_format("ts", "yyyy-MM-dd"))
+        .when(kind == 2, F.replace(good, F.lit("UTC"), F.lit("+01:00"))).when(kind != 3, good)
+    )
+    rows.select(text.alias("timestamp"), "user_id", "pixel_color", "coordinate").write.csv(
+        path, header=True, compression="gzip", **_KEEP_SPACES)
+
+
 def write_election_tree(rows: DataFrame, root: str) -> None:
     """CSVs by state and year in three layouts, by state number.
 

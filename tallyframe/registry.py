@@ -105,7 +105,29 @@ election AS (
   JOIN nation ON c_nationkey = n_nationkey
 )"""
 
-_CLEANED = _ELECTION + """,
+_MESSY = """
+election AS (
+  SELECT CASE WHEN l_orderkey % 11 <> 0 THEN
+              CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'President'
+                   ELSE 'Governor' END END AS office,
+         CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 13 = 1 THEN ''
+              WHEN l_orderkey % 13 = 2 THEN '  ' WHEN o_orderkey % 50 = 0 THEN 'Total Votes'
+              ELSE c_mktsegment || ' ' || CAST(c_custkey % 10 AS VARCHAR) END AS precinct,
+         CASE WHEN l_partkey % 7 = 0 THEN NULL WHEN l_partkey % 7 = 1 THEN ' '
+              ELSE CASE o_custkey % 6 WHEN 0 THEN 'R' WHEN 1 THEN ' dem ' WHEN 2 THEN 'LIB'
+                   WHEN 3 THEN 'green' WHEN 4 THEN 'Democratic' ELSE 'WFP' END END AS party,
+         CASE WHEN l_linenumber = 3 THEN -CAST(l_quantity AS BIGINT) WHEN l_orderkey % 17 = 0 THEN NULL
+              WHEN n_nationkey = 7 THEN 1000 * CAST(l_quantity AS BIGINT)
+              ELSE CAST(l_quantity AS BIGINT) END AS votes,
+         'openelections-data-' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state,
+         CAST(year(o_orderdate) AS VARCHAR) AS year
+  FROM lineitem
+  JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey
+)"""
+
+_CLEANING = """,
 spellings(spelling, canonical) AS (
   VALUES ('r', 'Republican'), ('rep', 'Republican'), ('republican', 'Republican'),
          ('d', 'Democratic'), ('dem', 'Democratic'), ('democrat', 'Democratic'),
@@ -120,6 +142,8 @@ cleaned AS (
   GROUP BY ALL
 )"""
 
+_CLEANED = _ELECTION + _CLEANING
+
 _POPULATION = """
 population AS (
   SELECT n_name AS name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state,
@@ -582,7 +606,7 @@ def did_group_means_long(spark, sf_dir):
     return _rounded(ops.did_group_means(turnout, TREATED, PRE_YEAR, POST_YEAR))
 
 
-_RATES = f"""{_CLEANED}, {_POPULATION},
+_RATING = f""", {_POPULATION},
 votes AS (
   SELECT state, CAST(sum(votes) AS BIGINT) AS total_votes FROM cleaned
   WHERE year = '{POST_YEAR}' AND office = 'President' GROUP BY state HAVING sum(votes) > 0
@@ -595,6 +619,8 @@ rates AS (
   WHERE abs(rate - m) <= 3 * s
 )"""
 
+_RATES = _CLEANED + _RATING
+
 
 def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.turnout_rate(_cleaned(spark, sf_dir), _population(spark, sf_dir), POST_YEAR)
@@ -614,6 +640,76 @@ def battleground_comparison(spark, sf_dir):
     return _rounded(ops.battleground_comparison(_rates(spark, sf_dir), BATTLEGROUND))
 
 
+# The same rules on rows that they act on.
+
+
+@_query(f"""
+WITH {_MESSY}{_CLEANING} SELECT state, precinct, year, office, votes, party FROM cleaned""")
+def clean_messy_results(spark, sf_dir):
+    return ops.clean_results(fixtures.messy_election(spark, sf_dir))
+
+
+@_query(f"""
+WITH {_MESSY},
+missing AS (SELECT count(*) - count(COLUMNS(*)) FROM election),
+named(office, precinct, party, votes, state, year) AS (FROM missing)
+UNPIVOT named ON COLUMNS(*) INTO NAME column_name VALUE missing_count""")
+def profile_missing_of_messy_results(spark, sf_dir):
+    return ops.profile_missing(fixtures.messy_election(spark, sf_dir))
+
+
+@_query(f"""
+WITH {_MESSY}
+SELECT office, precinct, party, votes, state, year FROM election
+WHERE votes IS NOT NULL AND trim(precinct) <> '' AND trim(party) <> '' AND votes % 2 = 1
+ORDER BY votes DESC, office, precinct, party, state, year LIMIT 50""")
+def profile_top_values_of_messy_results(spark, sf_dir):
+    return ops.profile_top_rows(fixtures.messy_election(spark, sf_dir), "votes", 50,
+                                where=F.col("votes") % 2 == 1, non_blank=("precinct", "party"))
+
+
+@_query(f"""
+WITH {_MESSY}
+SELECT party, count(*) AS total_votes FROM election WHERE party IS NOT NULL GROUP BY party""")
+def profile_categories_of_messy_results(spark, sf_dir):
+    return ops.profile_categories(fixtures.messy_election(spark, sf_dir), "party", name="total_votes")
+
+
+@_query(f"WITH {_MESSY}{_CLEANING}{_RATING} SELECT state, total_votes, round(rate, 6) AS turnout_rate FROM rates")
+def turnout_rate_without_outlier(spark, sf_dir):
+    cleaned = ops.clean_results(fixtures.messy_election(spark, sf_dir))
+    return _rounded(ops.turnout_rate(cleaned, _population(spark, sf_dir), POST_YEAR))
+
+
+_MESSY_PLACEMENTS = _PLACEMENTS.replace("SELECT ts, user_id,", """SELECT
+         CASE WHEN event_id % 10 <> 0 THEN ts END AS ts, CASE WHEN event_id % 8 <> 1 THEN user_id END AS user_id,
+         CASE WHEN event_id % 9 <> 2 THEN""").replace("END AS pixel_color", "END END AS pixel_color")
+
+
+@_query(f"""
+WITH {_MESSY_PLACEMENTS}
+SELECT lower(trim(pixel_color)) AS pixel_color, count(*) AS n
+FROM placements WHERE {_IN_WEEK} AND pixel_color IS NOT NULL GROUP BY 1""")
+def color_counts_of_messy_placements(spark, sf_dir):
+    return ops.value_counts(fixtures.messy_placements(spark, sf_dir), "pixel_color", *WEEK)
+
+
+@_query(f"""
+WITH {_MESSY_PLACEMENTS}
+SELECT date_trunc('hour', ts) AS hour, lower(trim(pixel_color)) AS pixel_color, count(*) AS changes
+FROM placements WHERE ts IS NOT NULL AND pixel_color IS NOT NULL GROUP BY 1, 2""")
+def hourly_counts_of_messy_placements(spark, sf_dir):
+    return ops.hourly_counts(fixtures.messy_placements(spark, sf_dir), "pixel_color")
+
+
+@_query(f"""
+WITH {_MESSY_PLACEMENTS}
+SELECT pixel_color, count(DISTINCT user_id) AS distinct_users
+FROM placements WHERE {_IN_WEEK} GROUP BY pixel_color""")
+def distinct_users_of_messy_placements(spark, sf_dir):
+    return ops.rank_by_distinct_users(fixtures.messy_placements(spark, sf_dir), "pixel_color", *WEEK)
+
+
 # Ingest. The derived table is written in the raw format first, once a session, then read.
 
 
@@ -673,6 +769,13 @@ def ingest_placements_incrementally(spark, sf_dir):
     return _typed(spark.read.parquet(table))
 
 
+@_query(_TYPED_SQL.replace("FROM events", "FROM events WHERE event_id % 10 > 3"))
+def ingest_placements_with_bad_times(spark, sf_dir):
+    raw = new_staging_path(spark, "placements-csv")
+    fixtures.write_messy_placements_csv(spark, sf_dir, raw)
+    return _typed(ingest_placements(spark, raw, new_staging_path(spark, "placements")))
+
+
 def _as_they_arrive(spark: SparkSession, sf_dir: str,
                     run: Callable[[DataFrame], StreamingQuery]) -> None:
     """Let ``run`` take the placements in parts, each by a query that goes on from the last."""
