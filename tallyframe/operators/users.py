@@ -16,6 +16,9 @@ from tallyframe.plans.ranking import with_row_index
 Bound = str | datetime | None
 
 SESSION_GAP_SECONDS = 15 * 60
+# A year has some 100,000 cells of this length, a bearable number of rows for one task.
+BLOCKS_BELOW_SECONDS = 5 * 60
+BLOCK_CELLS = 1 << 14
 PERCENTILES = (0.5, 0.75, 0.9, 0.99)
 
 
@@ -31,31 +34,57 @@ def rank_by_distinct_users(events: DataFrame, key: str = "pixel_color", start: B
 
 def sessions(events: DataFrame, start: Bound = None, end: Bound = None, *,
              user: str = "user_id", ts: str = "ts",
-             gap_seconds_max: int = SESSION_GAP_SECONDS, closed: str = "both") -> DataFrame:
+             gap_seconds_max: int = SESSION_GAP_SECONDS, closed: str = "both",
+             block_cells: int | None = None) -> DataFrame:
     """One row per user and session; a gap above ``gap_seconds_max`` starts a session.
 
     Events of one user in the same gap-long cell of the time axis are always in
     one session, so they are first reduced to the cell's first and last time and
     count. A user with a third of all events then brings at most one row per
     cell to the window, which joins cells whose gap is small enough.
+
+    Where the gap is short a user may have very many cells. Then sessions are found inside
+    blocks of ``block_cells`` cells of a user's time, and the blocks of a user, one row each,
+    are joined at their edges. By default blocks are for gaps below ``BLOCKS_BELOW_SECONDS``.
     """
     rows = with_values(time_window(events, start, end, ts=ts, closed=closed), ts)
     cell = F.window(ts, f"{gap_seconds_max} seconds")["start"]
     cells = rows.groupBy(F.col(user), cell.alias("_cell")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_n"))
-    in_order = Window.partitionBy(user).orderBy("_cell")
+    if block_cells is None and gap_seconds_max < BLOCKS_BELOW_SECONDS:
+        block_cells = BLOCK_CELLS
+    if block_cells is None:
+        numbered = _numbered(cells, [user], "_cell", gap_seconds_max, "session")
+    else:
+        block = F.window("_cell", f"{gap_seconds_max * block_cells} seconds")["start"]
+        numbered = _numbered_by_blocks(cells.withColumn("_block", block), user, gap_seconds_max)
+    joined = numbered.groupBy(user, "session").agg(
+        F.min("_first").alias("first_ts"), F.max("_last").alias("last_ts"), F.sum("_n").alias("events"))
+    return joined.withColumn("seconds", gap_seconds(F.col("first_ts"), F.col("last_ts")))
+
+
+def _numbered(spans: DataFrame, by: Sequence[str], order: str, gap: int, name: str) -> DataFrame:
+    """Number the sessions of each group of ``by`` from 0 on; spans are in order and apart."""
+    in_order = Window.partitionBy(*by).orderBy(order)
     wait = F.col("_first") - F.lag("_last").over(in_order)
-    longest = F.make_dt_interval(secs=F.lit(gap_seconds_max))
-    opens = F.when(wait > longest, 1).otherwise(0)
+    opens = F.when(wait > F.make_dt_interval(secs=F.lit(gap)), 1).otherwise(0)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = (
-        cells.withColumn("_opens", opens)
-        .withColumn("session", F.sum("_opens").over(so_far))
-        .groupBy(user, "session")
-        .agg(F.min("_first").alias("first_ts"), F.max("_last").alias("last_ts"),
-             F.sum("_n").alias("events"))
-    )
-    return joined.withColumn("seconds", gap_seconds(F.col("first_ts"), F.col("last_ts")))
+    return spans.withColumn("_opens", opens).withColumn(name, F.sum("_opens").over(so_far))
+
+
+def _numbered_by_blocks(cells: DataFrame, user: str, gap: int) -> DataFrame:
+    """Spans with their ``session``, without a window over all cells of a user."""
+    inner = _numbered(cells, [user, "_block"], "_cell", gap, "_local").groupBy(user, "_block", "_local").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
+    blocks = inner.groupBy(user, "_block").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.max("_local").alias("_more"))
+    # Sessions begun at the edges of blocks up to here, and inside the blocks before.
+    edges = _numbered(blocks, [user], "_block", gap, "_edges")
+    before = Window.partitionBy(user).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.col("_edges") + F.coalesce(F.sum("_more").over(before), F.lit(0))
+    offsets = edges.select(F.col(user).alias("_user"), F.col("_block").alias("_at"), offset.alias("_offset"))
+    same = F.col(user).eqNullSafe(F.col("_user")) & (F.col("_block") == F.col("_at"))
+    return inner.join(offsets, same).withColumn("session", F.col("_offset") + F.col("_local"))
 
 
 def average_session_seconds(events: DataFrame, start: Bound = None, end: Bound = None,

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.plans.bloom import may_be_in
 from tallyframe.plans.staging import stage
 
 BROADCAST_ROWS = 500_000
@@ -70,6 +71,10 @@ def count_members(
     if small:
         kept = rows.join(F.broadcast(keys), on, "left_semi")
         return kept.groupBy(*by).agg(F.count("*").alias(name))
+    if rows.schema[on].dataType == keys.schema[on].dataType:
+        # Most rows of no member end at the scan.
+        likely = may_be_in(keys, on, F.col(on))
+        rows = rows if likely is None else rows.filter(likely)
     # One row per (key, group) before the shuffle join; the groups of a hot key
     # are then spread over the salts.
     partial = rows.groupBy(*dict.fromkeys([on, *by])).agg(F.count("*").alias("_n"))

@@ -338,6 +338,13 @@ def user_sessions(spark, sf_dir):
     return _rounded(ops.sessions(fixtures.placements(spark, sf_dir)))
 
 
+@_query(f"""
+WITH {_SESSIONS.replace("INTERVAL 15 MINUTE", "INTERVAL 200 SECOND")}
+SELECT user_id, session, first_ts, last_ts, events, round(seconds, 6) AS seconds FROM spans""")
+def user_sessions_of_short_gaps(spark, sf_dir):
+    return _rounded(ops.sessions(fixtures.placements(spark, sf_dir), gap_seconds_max=200, block_cells=64))
+
+
 @_query(f"""
 SELECT round(quantile_cont(c, 0.5), 6) AS p50, round(quantile_cont(c, 0.75), 6) AS p75,
        round(quantile_cont(c, 0.9), 6) AS p90, round(quantile_cont(c, 0.99), 6) AS p99
@@ -431,6 +438,13 @@ def suspect_top_coordinates(spark, sf_dir):
     return ops.top_coordinates_of(events, _suspects(events))
 
 
+@_query(ORACLE["suspect_top_coordinates"])
+def suspect_top_coordinates_of_many(spark, sf_dir):
+    """As if the suspects were too many to broadcast: a Bloom filter, then a salted join."""
+    events = fixtures.placements(spark, sf_dir)
+    return ops.top_coordinates_of(events, _suspects(events), max_rows=0)
+
+
 @_query(f"""
 WITH {_PLACEMENTS}, {_SUSPECTS},
 split AS (
@@ -769,6 +783,13 @@ def ingest_placements_incrementally(spark, sf_dir):
     return _typed(spark.read.parquet(table))
 
 
+@_query(_TYPED_SQL)
+def ingest_one_large_gzip(spark, sf_dir):
+    raw = new_staging_path(spark, "placements-csv")
+    fixtures.write_placements_csv(fixtures.placements(spark, sf_dir).coalesce(1), raw)
+    return _typed(ingest_placements(spark, raw, new_staging_path(spark, "placements"), spread=True))
+
+
 @_query(_TYPED_SQL.replace("FROM events", "FROM events WHERE event_id % 10 > 3"))
 def ingest_placements_with_bad_times(spark, sf_dir):
     raw = new_staging_path(spark, "placements-csv")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,18 +33,44 @@ def typed_placements(raw: DataFrame, *, columns: Sequence[str] = KEPT_COLUMNS,
 
 
 def read_placements_csv(spark: SparkSession, path: str, *, columns: Sequence[str] = KEPT_COLUMNS,
-                        on_bad_time: str = "drop") -> DataFrame:
+                        on_bad_time: str = "drop", spread: bool = False) -> DataFrame:
     """Placements with a typed ``ts`` and its UTC ``event_date``.
 
     ``columns`` are taken by header name, others need not be there; files with another header than the first one
     stop the job. A row whose timestamp does not parse is
-    dropped, or stops the job with ``on_bad_time="fail"``. A gzip file is one
-    task, so a large history should come as many files.
+    dropped, or stops the job with ``on_bad_time="fail"``. A gzip file is unpacked by one
+    task, so a large history should come as many files; with ``spread`` that task only
+    unpacks, and its lines are dealt out before they are parsed (no line breaks inside quotes).
     """
-    raw = spark.read.options(header=True, enforceSchema=False, escape='"').csv(path)
+    if spread:
+        raw = _spread_csv(spark, path)
+    else:
+        raw = spark.read.options(header=True, enforceSchema=False, escape='"').csv(path)
     return typed_placements(raw, columns=columns, on_bad_time=on_bad_time)
 
 
+def _spread_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of CSV files as text columns, parsed by all cores.
+
+    For few large files: the header of each is read first.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path").orderBy("path")  # reads no file
+    files = [row["path"] for row in listed.collect()]
+    # Unpacks the beginning of a file only.
+    headers = {file: (spark.read.text(_escaped(file)).first() or [""])[0] for file in files}
+    if len(set(headers.values())) > 1:
+        raise ValueError(f"files with different headers: {headers}")
+    header = next(iter(headers.values()), "")
+    schema = ", ".join(f"`{name.strip(chr(34))}` string" for name in header.split(","))
+    lines = spark.read.text(path).filter((F.col("value") != "") & (F.col("value") != header)).hint("rebalance")
+    return lines.select(F.from_csv("value", schema, {"escape": '"'}).alias("_row")).select("_row.*")
+
+
+def _escaped(path: str) -> str:
+    """A path that is no pattern."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 def write_placements(placements: DataFrame, path: str, *, mode: str = "ignore") -> None:
     """Parquet by ``event_date``, each file sorted by ``ts``."""
     write_table(placements, path, ("event_date",), sort_by=("ts",), mode=mode)
@@ -51,8 +78,8 @@ def write_placements(placements: DataFrame, path: str, *, mode: str = "ignore")
 
 def ingest_placements(spark: SparkSession, csv_path: str, table_path: str, *,
                       columns: Sequence[str] = KEPT_COLUMNS, on_bad_time: str = "drop",
-                      mode: str = "ignore") -> DataFrame:
+                      mode: str = "ignore", spread: bool = False) -> DataFrame:
     """Convert once, then read the typed table."""
-    rows = read_placements_csv(spark, csv_path, columns=columns, on_bad_time=on_bad_time)
+    rows = read_placements_csv(spark, csv_path, columns=columns, on_bad_time=on_bad_time, spread=spread)
     write_placements(rows, table_path, mode=mode)
     return spark.read.parquet(table_path)
