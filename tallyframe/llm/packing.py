@@ -13,14 +13,12 @@ import heapq
 import json
 import re
 import zlib
-from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
@@ -238,22 +236,23 @@ def shortest_pack_first(histogram: dict[int, int], length: int) -> list[tuple[tu
     return sorted(counts.items(), reverse=True)
 
 
-def _places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[list[int], list[int], list[int]]]:
-    """By length: first number, first sequence and offset of the places of that length."""
-    places: dict[int, tuple[list[int], list[int], list[int]]] = defaultdict(lambda: ([], [], []))
+_PLACES = "_length long, _first long, _until long, _sequence long, _offset long"
+
+
+def _places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
+    """``_PLACES`` rows: pieces of a length with numbers from ``_first`` to before ``_until`` lie at
+    one offset in sequences that follow each other."""
+    places = []
     given: Counter[int] = Counter()
     sequence = 0
     for lengths, times in patterns:
         offset = 0
         for size in lengths:
-            firsts, sequences, offsets = places[size]
-            firsts.append(given[size])
-            sequences.append(sequence)
-            offsets.append(offset)
+            places.append((size, given[size], given[size] + times, sequence, offset))
             given[size] += times
             offset += size
         sequence += times
-    return dict(places)
+    return places
 
 
 def pack(pieces: DataFrame, *, length: int = SEQUENCE, buckets: int | None = None) -> DataFrame:
@@ -261,7 +260,8 @@ def pack(pieces: DataFrame, *, length: int = SEQUENCE, buckets: int | None = Non
 
     Only the histogram, at most ``length`` rows, goes through the driver. A length that
     many pieces share is numbered in buckets, whose counts give each bucket its first
-    number. No pieces give no rows.
+    number; patterns join back to the pieces by length and number. Pieces that are equal in
+    all columns, of repeated documents, each get a place. No pieces give no rows.
     """
     buckets = buckets or max(16, partitions(pieces.sparkSession))
     dealt = pieces.withColumn(
@@ -282,17 +282,10 @@ def pack(pieces: DataFrame, *, length: int = SEQUENCE, buckets: int | None = Non
         .drop("_bucket", "_before", "_row")
     )
 
-    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sequences, offsets = [], []
-            for size, number in zip(frame["length"].tolist(), frame["_number"].tolist(), strict=True):
-                firsts, first_sequences, starts = places[size]
-                at = bisect_right(firsts, number) - 1
-                sequences.append(first_sequences[at] + number - firsts[at])
-                offsets.append(starts[at])
-            yield frame.drop(columns="_number").assign(sequence_id=sequences, offset=offsets)
-
-    columns = [c for c in numbered.columns if c != "_number"]
-    kinds = ", ".join(f"{c} {numbered.schema[c].dataType.simpleString()}" for c in columns)
-    return numbered.select(*columns, "_number").mapInPandas(
-        placed, f"{kinds}, sequence_id long, offset long")
+    # Bounded by the lengths: some ten places for each of them, whatever the number of pieces.
+    table = pieces.sparkSession.createDataFrame(places, _PLACES)
+    here = ((F.col("length") == F.col("_length")) & (F.col("_number") >= F.col("_first"))
+            & (F.col("_number") < F.col("_until")))
+    sequence = F.col("_sequence") + F.col("_number") - F.col("_first")
+    return numbered.join(F.broadcast(table), here).select(
+        *pieces.columns, sequence.alias("sequence_id"), F.col("_offset").alias("offset"))
