@@ -49,6 +49,7 @@ MEMBERS = 256  # compared with one set in one go
 BLOCK = 1024  # entries of a block of an index list
 LEADER_ROUNDS = 2
 CLOSEST_ROUNDS = 3
+MIXED_ROWS = 20_000  # of the table of lists that are broadcast to their entries
 PAIRS = 1 << 21  # of a block that are looked at in one go
 
 _U = np.uint64
@@ -253,6 +254,11 @@ def _needed(n_a, n_b, percent: int):
     return -(-percent * (n_a + n_b) // (100 + percent))
 
 
+def _least_overlap(n_a: str, n_b: str, percent: int) -> Column:
+    """``_needed`` of columns."""
+    return F.expr(f"({percent} * ({n_a} + {n_b}) + {99 + percent}) div {100 + percent}")
+
+
 def _sizes_fit(n_a: Column, n_b: Column, percent: int) -> Column:
     return (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a)
 
@@ -366,34 +372,50 @@ def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFram
     """
     # A set of the next size step up to its own may be similar, none further away.
     step = float(np.log(100 / percent)) * (1 + 1e-9)
+    # The first n-gram that two similar sets share leaves each at least their overlap behind
+    # its place. So the smaller set has it among its first places, `early`, whatever the other's size.
     entries = classes.select(
-        "id", "n", "component", F.posexplode("prefix").alias("pos", "gram"))
+        "id", "n", "component", F.posexplode("prefix").alias("pos", "gram")
+    ).withColumn("early", F.col("pos") <= F.col("n") - _least_overlap("n", "n", percent))
     mixed = scratch.stage(
         entries.groupBy("gram")
-        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        .filter("_low != _high").select("gram"), "mixed")
-    if fits_broadcast(mixed):
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("early").alias("_early"))
+        .filter("_low != _high and _early").select("gram"), "mixed")
+    if fits_broadcast(mixed, max_rows=MIXED_ROWS):
         mixed = F.broadcast(mixed)
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
+    # The sets of the next step have at least so many n-grams.
+    above = F.greatest("n", F.floor(F.exp(F.lit(step) * (F.col("own") + 1)) * F.lit(1 - 1e-9)).cast("long"))
+    meets_above = F.col("pos") <= F.col("n") - _least_overlap("n", "above", percent)
     cells = scratch.stage(
         entries.join(mixed, "gram")
-        .withColumn("own", own)
-        .withColumn("cell", F.explode(F.array("own", F.col("own") + 1))), "cells")
+        .withColumn("own", own).withColumn("above", above)
+        .withColumn("cell", F.explode(
+            F.when(meets_above, F.array("own", F.col("own") + 1)).otherwise(F.array("own"))))
+        .drop("above"), "cells")
+    early, late = F.count_if("early"), F.count_if(~F.col("early"))
     sized = (
         cells.groupBy("gram", "cell")
-        .agg(F.count("*").alias("_n"), F.min("component").alias("_low"),
+        .agg(early.alias("_early"), late.alias("_late"), F.min("component").alias("_low"),
              F.max("component").alias("_high"), F.max("own").alias("_own"))
         # Only pairs with an entry of the cell itself; the cell above has the others.
-        .filter("_n > 1 and _low != _high and _own = cell")
-        .select("gram", "cell", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
+        .filter("_early > 0 and _early + _late > 1 and _low != _high and _own = cell")
+        .withColumn("_cut", F.col("_early") + F.col("_late") > BLOCK)
+        .select("gram", "cell", "_cut", F.ceil(F.col("_early") / BLOCK).cast("int").alias("_first"),
+                F.ceil(F.col("_late") / BLOCK).cast("int").alias("_rest"))
     )
     about = classes.select("id", "sketch", "leader", "shared")
-    block = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
-    others = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    # A long list is cut into blocks of early places and, after them, blocks of late ones. Two
+    # blocks of late places have no pair and are skipped whole.
+    hashed = F.xxhash64("id")
+    block = F.when(~F.col("_cut"), 0).when(F.col("early"), F.pmod(hashed, F.col("_first"))).otherwise(
+        F.col("_first") + F.pmod(hashed, F.col("_rest"))).cast("int")
+    last = F.when(~F.col("_cut"), 0).otherwise(
+        F.col("_first") + F.when(F.col("early"), F.col("_rest")).otherwise(0) - 1)
     dealt = (
         cells.join(sized, ["gram", "cell"])
         .withColumn("_block", block)
-        .withColumn("_other", F.explode(others))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
         .withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")})
         .join(about, "id")
         .repartition("gram", "cell", "_i", "_j").sortWithinPartitions("gram", "cell", "_i", "_j")
@@ -413,9 +435,8 @@ def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFram
         x, y = x[keep], y[keep]
         small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
         need = _needed(n[x], n[y], percent)
-        # What two sets can share before and after their places.
-        keep = (100 * small >= percent * large) & (
-            np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need)
+        # What two sets can share from their places on, where these are of their first common n-gram.
+        keep = (100 * small >= percent * large) & (np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need)
         # What both share is at most what one shares with the leader plus what the other
         # has beyond the leader.
         shared = rows["shared"]
