@@ -2,6 +2,12 @@
 
 Every stage gets the documents that its predecessor kept, with all their columns, and
 works on all of them; its decisions take effect. The last stage returns the pieces.
+
+No stage fails on nulls, repeated rows or an empty table. A null text is an empty one: it is
+scored, one empty text of all stays in exact dedup, it has no near copies, no words for the
+mix, and is one end token in packing. Repeated rows are exact copies, of which one stays.
+Null identifiers come last where identifiers decide. An empty table gives empty results,
+but for the first stage, which needs labelled documents to learn from.
 """
 
 from __future__ import annotations
@@ -16,14 +22,15 @@ from tallyframe.llm.exact_dedup import exact_dedup
 from tallyframe.llm.ngram_join import ngram_join
 from tallyframe.llm.registry import QUALITY_CUT, quality_model
 from tallyframe.plans.joins import fits_broadcast
-from tallyframe.plans.staging import stage
+from tallyframe.plans.staging import Scratch, stage
 
 # A near duplicate shares four fifths of its five-word shingles.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the cut."""
+    """Documents whose quality score reaches the cut. The score is learnt from those in ``docs``
+    that have labels and are not held out; without any of both classes this stops."""
     model = quality_model(spark, docs, sf_dir)
     return docs.filter(compression.score(model, F.col("text")) >= QUALITY_CUT)
 
@@ -54,13 +61,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it. One without words is taken as often as its
+    source is taken whole."""
     rows = mixing.numbered(docs)
     return mixing.repeated(rows, mixing.mix_rows(rows))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents with their places in the sequences."""
+    """The pieces of the documents with their places in the sequences. Documents that the mix
+    repeats are pieces of their own."""
     pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(stage(pieces, "pieces"))
 
@@ -78,7 +87,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages. The documents that a stage kept are stored until the next one is done."""
+    docs, before = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        kept = Scratch(spark)
+        with before:
+            docs = kept.stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        before = kept
+    with before:
+        return STAGES[-1][1](spark, docs, sf_dir)
