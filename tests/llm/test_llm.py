@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyframe.llm import caps, chat, compression, html, licenses, mixing, packing, pii
@@ -519,3 +520,65 @@ def test_pipeline_runs_its_stages(spark, small):
     assert kept <= {r.doc_id for r in best.select("doc_id").collect()}
     digests = [hashlib.sha256(re.sub(r"\s", "", r.text).encode()).digest() for r in best.collect()]
     assert len(digests) == len(set(digests))
+
+
+def test_pipeline_mixes_and_packs_what_it_kept(spark, small):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").filter("doc_id % 2 = 0")
+    mixed = stage(corpus_pipeline.mix(spark, docs, small), "mixed")
+    assert mixed.columns == docs.columns
+    # Words by source, against the targets by hand: 150 % of all by weights 3, 1, 2, capped at twice each.
+    size = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    sizes = {r[0]: r[1] for r in docs.groupBy("source").agg(F.sum(size)).collect()}
+    taken = {r[0]: r[1] for r in mixed.groupBy("source").agg(F.sum(size)).collect()}
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: s.encode()))}
+    budget, open_, target = 1.5 * sum(sizes.values()), set(sizes), {}
+    while True:
+        share = (budget - sum(target.values())) / sum(weight[s] for s in open_)
+        full = {s for s in open_ if share * weight[s] > 2 * sizes[s]}
+        if not full:
+            break
+        target |= {s: 2 * sizes[s] for s in full}
+        open_ -= full
+    target |= {s: share * weight[s] for s in open_}
+    longest = docs.agg(F.max(size)).first()[0]
+    assert all(abs(taken.get(s, 0) - target[s]) <= longest for s in sizes)
+    copies = {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert max(copies.values()) <= 2
+    rows = corpus_pipeline.pack(spark, mixed, small).collect()
+    wanted = {r["doc_id"]: r["doc_tokens"] for r in rows}
+    spent = {}
+    for r in rows:
+        spent[r["doc_id"]] = spent.get(r["doc_id"], 0) + r["length"]
+    assert spent == {doc: wanted[doc] * n for doc, n in copies.items()}
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_pipeline_stages_without_documents(spark, small):
+    import corpus_pipeline
+
+    none = spark.read.parquet(f"{small}/documents.parquet").limit(0)
+    for _, step in corpus_pipeline.STAGES[1:]:
+        assert step(spark, none, small).count() == 0
+
+
+def test_pipeline_stages_with_nulls_and_repeated_rows(spark):
+    import corpus_pipeline
+
+    rows = [(None, None, None, None, None), (None, None, None, None, None), (1, "", "en", "a", 0), (2, "a b c d e f", "en", "a", 11),
+            (2, "a b c d e f", "en", "a", 11), (3, None, "en", None, 0), (None, "x y z", "en", "b", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, step in corpus_pipeline.STAGES[1:4]:
+        docs = stage(step(spark, docs, ""), "step")
+    left = sorted({str(r.text) for r in docs.collect()} - {"None", ""})
+    assert left == ["a b c d e f", "x y z"]
+    assert corpus_pipeline.pack(spark, docs, "").count() == docs.count()
