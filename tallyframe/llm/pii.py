@@ -12,6 +12,7 @@ are no candidates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,10 @@ from tallyframe.plans.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
 CANDIDATE = len(KINDS)
-CONTEXT = 64  # characters looked at for the neighbouring word
+# Characters of a text that are looked at together for the neighbouring words, and entries that
+# are summed together.
+PIECE = 256
+CHUNK = 256
 MIN_SUPPORT = 5  # distinct accepted values a pattern must have stood next to
 MIN_CONFIDENCE = 0.5
 ACCEPT = 0.8
@@ -37,22 +41,45 @@ _LOCAL = rf"[A-Za-z0-9._%+\-{_DOT}]"
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: inside a lambda it would be for each entry."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(lengths: Column) -> Column:
+    """The sums up to and with each entry, in chunks, as each step copies what it has so far."""
+    none = F.array().cast("array<int>")
+
+    def add(acc: Column, length: Column) -> Column:
+        total = acc["at"] + length
+        return F.struct(total.alias("at"), F.array_append(acc["sums"], total).alias("sums"))
+
+    def add_chunk(acc: Column, chunk: Column) -> Column:
+        return _with(
+            F.aggregate(chunk, F.struct(acc["at"].alias("at"), none.alias("sums")), add),
+            lambda inner: F.struct(inner["at"].alias("at"), F.concat(acc["sums"], inner["sums"]).alias("sums")))
+
+    def summed(lengths: Column) -> Column:
+        chunks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int")),
+            lambda i: F.slice(lengths, i * CHUNK + 1, CHUNK))
+        return F.when(F.size(lengths) > 0, F.aggregate(
+            chunks, F.struct(F.lit(0).alias("at"), none.alias("sums")), add_chunk, lambda acc: acc["sums"])).otherwise(none)
+
+    return _with(lengths, summed)
+
+
 def _spans(text: Column, form: str, kind: int) -> Column:
     """All matches from left to right: what lies between them gives their places."""
-    found = F.regexp_extract_all(text, F.lit(form), F.lit(0))
-    between = F.split(text, form, -1)
-    none = F.array().cast(_SPAN)
-
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.char_length(pair["gap"])
-        end = start + F.char_length(pair["value"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                        pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(acc["spans"], span).alias("spans"))
+    def placed(found: Column, between: Column) -> Column:
+        ends = _running(F.transform(found, lambda value, i: F.char_length(F.get(between, i)) + F.char_length(value)))
+        return F.transform(F.arrays_zip(found.alias("value"), ends.alias("end")), lambda s: F.struct(
+            (s["end"] - F.char_length(s["value"])).alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"),
+            s["value"].alias("value")))
 
-    pairs = F.transform(found, lambda value, i: F.struct(F.get(between, i).alias("gap"), value.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
+    both = F.struct(F.regexp_extract_all(text, F.lit(form), F.lit(0)).alias("found"),
+                    F.split(text, form, -1).alias("between"))
+    return _with(both, lambda b: placed(b["found"], b["between"]))
 
 
 def _digits(value: Column) -> Column:
@@ -134,16 +161,32 @@ def _candidates(text: Column) -> Column:
 
 
 def _with_context(text: Column, spans: Column) -> Column:
-    """Add the word before and the word after, in lower case; a name with ``=`` counts as a word."""
-    def words(s: Column) -> Column:
-        before = F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT))
+    """Add the word before and the word after, in lower case; a name with ``=`` counts as a word.
+
+    Words are sought in the pieces of the text around a span, so that no span walks the text
+    from its start; only where these do not hold the whole word it is sought in all the text.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    last, first = rf"([^{_WS}]+)[{_WS}]*$", rf"^[^{_WS}]*[{_WS}]+([^{_WS}]+)"
+
+    def words(pieces: Column, s: Column) -> Column:
+        at, to = F.floor(s["start"] / PIECE).cast("int"), F.floor(s["end"] / PIECE).cast("int")
+        here = F.concat(F.coalesce(F.get(pieces, at - 1), F.lit("")), F.substring(
+            F.coalesce(F.get(pieces, at), F.lit("")), F.lit(1), s["start"] % PIECE))
+        # A word that begins behind a blank, or with the text, is whole.
+        left = F.when((at > 1) & ~here.rlike(rf"[{_WS}][^{_WS}]+[{_WS}]*$"), F.regexp_extract(
+            F.substring(text, F.lit(1), s["start"]), last, 1)).otherwise(F.regexp_extract(here, last, 1))
+        ahead = F.concat(F.substring(F.coalesce(F.get(pieces, to), F.lit("")), s["end"] % PIECE + 1, F.lit(PIECE)),
+                         F.coalesce(F.get(pieces, to + 1), F.lit("")))
+        rest = F.size(pieces) > to + 2
+        right = F.when(rest & ~ahead.rlike(rf"^[^{_WS}]*[{_WS}]+[^{_WS}]+[{_WS}]"), F.regexp_extract(
+            F.substring(text, s["end"] + 1, F.char_length(text)), first, 1)).otherwise(F.regexp_extract(ahead, first, 1))
         return F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
-            F.lower(F.regexp_extract(before, rf"([^{_WS}]+)[{_WS}]*$", 1)).alias("left"),
-            F.lower(F.regexp_extract(after, rf"^[^{_WS}]*[{_WS}]+([^{_WS}]+)", 1)).alias("right"))
+            F.lower(left).alias("left"), F.lower(right).alias("right"))
 
-    return F.transform(spans, words)
+    both = F.struct(pieces.alias("pieces"), spans.alias("spans"))
+    return _with(both, lambda b: F.transform(b["spans"], lambda s: words(b["pieces"], s)))
 
 
 def find_pii(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rounds: int | None = None,
@@ -184,7 +227,7 @@ def find_pii(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rou
     # Patterns that can reach the support at all; the rest of the graph is not followed.
     able = (
         graph.groupBy("side", "word")
-        .agg(F.count("*").alias("near"), F.approx_count_distinct("value").alias("values"))
+        .agg(F.count("*").alias("near"), F.count_distinct("value").alias("values"))
         .filter(F.col("values") >= min_support).drop("values")
     )
     able = stage(able, "patterns")
@@ -205,7 +248,7 @@ def find_pii(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rou
         )
         patterns = (
             scored.filter("label is not null").groupBy("side", "word", "label")
-            .agg(F.count("*").alias("hits"), F.approx_count_distinct("value").alias("values"),
+            .agg(F.count("*").alias("hits"), F.count_distinct("value").alias("values"),
                  F.first("total").alias("total"))
             .filter(F.col("values") >= min_support)
             .withColumn("confidence", F.col("hits") / F.col("total"))
