@@ -50,7 +50,7 @@ BLOCK = 1024  # entries of a block of an index list
 LEADER_ROUNDS = 2
 CLOSEST_ROUNDS = 3
 MIXED_ROWS = 20_000  # of the table of lists that are broadcast to their entries
-PAIRS = 1 << 21  # of a block that are looked at in one go
+PAIRS = 1 << 18  # of blocks that are looked at in one go, with 400 bytes each
 
 _U = np.uint64
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -71,7 +71,7 @@ class Shingles:
     """
 
     LONG = 64
-    TOGETHER = 1 << 20  # bytes
+    TOGETHER = 1 << 18  # bytes
 
     def __init__(self, words: int) -> None:
         self._words = words
