@@ -582,3 +582,28 @@ def test_pipeline_stages_with_nulls_and_repeated_rows(spark):
     left = sorted({str(r.text) for r in docs.collect()} - {"None", ""})
     assert left == ["a b c d e f", "x y z"]
     assert corpus_pipeline.pack(spark, docs, "").count() == docs.count()
+
+
+def test_neighbours_of_spans_at_any_distance(spark):
+    rng = random.Random(12)
+    blank = r"[\x20\x09-\x0D]"
+    texts = ["", "12345", "x" * 700 + " " * 900 + "12345" + "\n" * 800 + "y" * 600, "a 12345 " + "b" * 2000,
+             "é" * 300 + "\t12345,\x0b" + "😀" * 400 + " 6789"]
+    for _ in range(60):
+        texts.append("".join(rng.choice(["w" * rng.choice([1, 3, 255, 256, 257, 600]), "12-34", "é7@x", "::"])
+                             + rng.choice([" ", "\n", " " * 255, " " * 256, " " * 700]) for _ in range(rng.randrange(12))))
+    texts.append(" ".join(f"id{i}" if i % 2 else f"w{i % 50}" for i in range(20_000)))
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", pii._with_context(F.col("text"), pii._candidates(F.col("text"))).alias("spans")).collect()
+    seen = 0
+    for row in rows:
+        for s in row.spans:
+            assert row.text[s.start:s.end] == s.value
+            if len(row.text) > 50_000 and s.start % 97:
+                continue
+            left = re.search(rf"((?:(?!{blank}).)+){blank}*$", row.text[max(s.start - 3000, 0):s.start], re.S)
+            right = re.match(rf"(?:(?!{blank}).)*{blank}+((?:(?!{blank}).)+)", row.text[s.end:s.end + 3000], re.S)
+            assert s.left == (left.group(1).lower() if left else "")
+            assert s.right == (right.group(1).lower() if right else "")
+            seen += 1
+    assert seen > 100
