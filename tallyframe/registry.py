@@ -909,6 +909,19 @@ def archive_members_by_state_and_year(spark, sf_dir):
     return lines.filter("line_no > 0").groupBy("state", "year").agg(F.count("*").alias("lines"))
 
 
+@_query(f"""
+WITH {_ELECTION}
+SELECT state, year, office || ',' || precinct || ',' || party || ',' || CAST(votes AS VARCHAR)
+         AS line
+FROM election""")
+def archive_members_written_and_read(spark, sf_dir):
+    """All lines of all members, through the table by state and year."""
+    path = new_staging_path(spark, "members")
+    write_members(read_archive_members(spark, _archive(spark, sf_dir)), path)
+    lines = spark.read.schema(LINE_SCHEMA).parquet(path)
+    return lines.filter("line_no > 0 and valid").select("state", "year", "line")
+
+
 @_query(f"WITH {_ELECTION} SELECT office, precinct, party, votes, state, year FROM election")
 def ingest_election_archives(spark, sf_dir):
     return ingest_election_archive(spark, _archive(spark, sf_dir)).rows
