@@ -9,11 +9,13 @@ The join works in three rounds that skip by relations between sets:
 
 1. Lists of the first few entries name leaders, and every member is compared with one
    leader that its sketch does not rule out. These links make the first components.
-2. An index list whose entries all lie in one component is skipped. The lists that are
-   left are cut into blocks by set size, and inside a block a pair is skipped by its
-   positions, by its sizes, by a parity sketch of its sets, or by the answers of a leader
-   that both were compared with: the overlap of B with X is at most the overlap of the
-   leader with X plus what B has beyond the leader.
+2. An index list whose entries all lie in one component is skipped, and one without an early
+   place, as the first n-gram that two similar sets share is among the early ones of the smaller.
+   The lists that are left are cut by set size, and long ones into blocks of early and of late
+   places, of which two late ones are skipped whole. Inside the blocks a pair is skipped by its
+   places, by its sizes, by a parity sketch of its sets, or by the answers of a leader that both
+   were compared with: the overlap of B with X is at most the overlap of the leader with X plus
+   what B has beyond the leader.
 3. Of the pairs that are left, every component compares its closest one, some times over;
    the pairs whose components are then still apart are all compared.
 
