@@ -7,9 +7,11 @@ layout or a vote count does not fit is left out as a whole and reported.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,8 +135,10 @@ def conform_lines(lines: DataFrame, headers: DataFrame, *, header_in_lines: bool
         copies = like_header.join(heads, "_line", "left_anti")
         body = staged.filter("not _is_header").unionByName(copies)
     bad = body.filter(F.col("problem").isNotNull())
-    skipped = stage(bad.groupBy("file").agg(F.min("problem").alias("problem"),
-                                            F.count("*").alias("lines")), "skipped")
+    # Text as an aggregate makes Spark sort its input, so the lines are counted by problem first.
+    counts = bad.groupBy("file", "problem").agg(F.count("*").alias("lines"))
+    skipped = stage(counts.groupBy("file").agg(F.min("problem").alias("problem"),
+                                               F.sum("lines").alias("lines")), "skipped")
     rows = without_members(body, skipped, "file", "_line", **join_limits)
     return Ingested(rows.select(*TEXT_COLUMNS, VOTES, "state", "year"), skipped)
 
@@ -154,14 +158,34 @@ def read_csv_tree(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """``(file, header, weight)``: the first non-blank line of the block at offset 0 of every file.
+
+    A task reads such a block in one go, so that only its first line gets to the aggregate,
+    which sorts what it gets.
+    """
+    starts = lines.filter((F.col("block_start") == 0) & (F.col("line") != "")).select(
+        "file", F.col("line").cast("binary").alias("line"), "file_bytes",
+        F.monotonically_increasing_id().alias("_at"))
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The first of rows that follow each other with the same file, whatever their number."""
+        last = None
+        for batch in batches:
+            file = batch.column(0)
+            if len(file):
+                changes = pc.not_equal(file[1:], file[:-1])
+                yield batch.filter(pa.concat_arrays([pa.array([file[0].as_py() != last]), changes]))
+                last = file[-1].as_py()
+
+    return starts.mapInArrow(heads, starts.schema).groupBy("file").agg(
+        F.min_by(F.col("line").cast("string"), "_at").alias("header"), F.max("file_bytes").alias("weight"))
+
+
 def ingest_election_csvs(spark: SparkSession, root: str, **join_limits: int) -> Ingested:
     """Read ``<state>/<year>/<name>.csv`` trees whose headers differ between files."""
     lines = read_csv_tree(spark, root)
-    # The first non-blank line of the block at offset 0 heads its file.
-    starts = lines.filter((F.col("block_start") == 0) & (F.col("line") != ""))
-    headers = starts.withColumn("_at", F.monotonically_increasing_id()).groupBy("file").agg(
-        F.min_by("line", "_at").alias("header"), F.max("file_bytes").alias("weight"))
-    headers = headers.withColumns({"valid": F.is_valid_utf8("header"), "state": _from_path(F.col("file"), 2), "year": _from_path(F.col("file"), 1)})
+    headers = _first_lines(lines).withColumns({"valid": F.is_valid_utf8("header"), "state": _from_path(F.col("file"), 2), "year": _from_path(F.col("file"), 1)})
     return conform_lines(lines, stage(headers, "headers"), **join_limits)
 
 

@@ -1,11 +1,14 @@
 import gzip
 import io
+import re
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.plans import staging
 from tallyframe.sources import (
+    election_csv,
     ingest_election_archive,
     ingest_election_csvs,
     ingest_placements,
@@ -191,6 +194,30 @@ def test_ingest_file_of_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_no_sort_of_lines(spark, tmp_path, monkeypatch):
+    """Only heads of files and counts by file get sorted, whatever the number of lines."""
+    staged = {}
+
+    def stage(df, label):
+        staged[label] = df._jdf.queryExecution().executedPlan().toString()
+        return staging.stage(df, label)
+
+    monkeypatch.setattr(election_csv, "stage", stage)
+    folder = tmp_path / "openelections-data-oh" / "2020"
+    folder.mkdir(parents=True)
+    for i in range(3):  # small files share a task; two headers come after blank lines
+        body = "".join(f"P{n},{n}\n" for n in range(25_000)) + ("Q,1.5\nR,1,2\nS\n" if i == 2 else "")
+        (folder / f"{i}.csv").write_text("\n" * i + f"precinct,votes\n{body}")
+    heads = election_csv._first_lines(election_csv.read_csv_tree(spark, str(tmp_path))).collect()
+    assert [(r.file[-5:], r.header, r.weight) for r in sorted(heads)] == [
+        (f"{i}.csv", "precinct,votes", (folder / f"{i}.csv").stat().st_size) for i in range(3)]
+    rows, skipped = ingest_election_csvs(spark, str(tmp_path))
+    assert tuple(rows.agg(F.count("*"), F.sum("votes")).first()) == (50_000, 2 * sum(range(25_000)))
+    assert [(r.problem, r.lines) for r in skipped.collect()] == [("field count", 3)]
+    assert "MapInArrow" in staged["headers"].rpartition("Sort [")[2]
+    assert re.search(r"HashAggregate\(keys=\[file#\d+, problem#\d+\]", staged["skipped"])
+
+
 def test_hive_style_and_escaped_folders(spark, tmp_path):
     folder = tmp_path / "state=data of 100%+ny" / "year=2012"
     folder.mkdir(parents=True)
