@@ -70,8 +70,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their places in the sequences. Documents that the mix
     repeats are pieces of their own."""
-    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(stage(pieces, "pieces"))
+    return packing.pack(packing.stored_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES = [

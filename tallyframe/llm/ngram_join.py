@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import whole_text
+from tallyframe.llm.common import releasing, small_batches, whole_text
 from tallyframe.llm.components import components
 from tallyframe.plans.joins import fits_broadcast
 from tallyframe.plans.staging import Scratch, stage
@@ -181,7 +181,7 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
         yield report()
 
     counts = (
-        docs.select("text").mapInArrow(counted, "gram long, n long")
+        docs.select("text").mapInArrow(releasing(counted), "gram long, n long")
         .groupBy("gram").agg(F.sum("n").alias("n"))
         .orderBy(F.col("n").desc(), "gram").limit(FREQUENT)
     )
@@ -247,7 +247,7 @@ def _sets(docs: DataFrame, words: int, percent: int, grams: np.ndarray, counts:
                 ["doc_id", "n", "high", "low", "prefix", "sketch", "wide"])
 
     return docs.mapInArrow(
-        made, "doc_id long, n long, high long, low long, prefix array<long>, "
+        releasing(made), "doc_id long, n long, high long, low long, prefix array<long>, "
         "sketch binary, wide binary")
 
 
@@ -307,7 +307,7 @@ def _compared(scratch: Scratch, pairs: DataFrame, docs: DataFrame, words: int) -
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in out], ["a", "b", "n_a", "n_b", "shared"])
 
-    return dealt.mapInArrow(overlaps, "a long, b long, n_a long, n_b long, shared long")
+    return dealt.mapInArrow(releasing(overlaps), "a long, b long, n_a long, n_b long, shared long")
 
 
 def _linked(percent: int) -> Column:
@@ -356,7 +356,7 @@ def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(known[0][near]), pa.array(ids[near]), pa.array(apart[near])], ["a", "b", "apart"])
 
-    return dealt.mapInArrow(led, "a long, b long, apart long").dropDuplicates(["a", "b"])
+    return dealt.mapInArrow(releasing(led), "a long, b long, apart long").dropDuplicates(["a", "b"])
 
 
 def _bits(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -486,7 +486,7 @@ def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFram
         if held:
             yield from flush(last=True)
 
-    found = dealt.mapInArrow(pairs, "a long, b long, apart long")
+    found = dealt.mapInArrow(releasing(pairs), "a long, b long, apart long")
     return found.filter("a != b").groupBy("a", "b").agg(F.min("apart").alias("apart"))
 
 
@@ -508,7 +508,7 @@ def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in range(3)], ["a", "b", "apart"])
 
     return pairs.select("a", "b", "apart", "n_a", "n_b", "w_a", "w_b").mapInArrow(
-        near, "a long, b long, apart long")
+        releasing(near), "a long, b long, apart long")
 
 
 def _linked_classes(scratch: Scratch, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -578,8 +578,8 @@ def ngram_join(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
     no component. An empty table gives no rows. Identifiers are integers.
     """
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    grams, counts = _frequent(ids, words)
-    with Scratch(docs.sparkSession) as scratch:
+    with small_batches(docs.sparkSession), Scratch(docs.sparkSession) as scratch:
+        grams, counts = _frequent(ids, words)
         sets = scratch.stage(_sets(ids, words, percent, grams, counts), "sets")
         has = F.col("doc_id").isNotNull() & (F.col("n") > 0)
         classes = scratch.stage(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyframe.llm.common import partitions, whole_text
+from tallyframe.llm.common import partitions, releasing, small_batches, whole_text
 from tallyframe.plans.staging import stage
 
 SEQUENCE = 2048
@@ -128,7 +128,8 @@ class WordTokens:
     """
 
     def __init__(self, tokenizer: str, ranks: tuple[dict[bytes, int], np.ndarray] | None) -> None:
-        self._tokenizer = Tokenizer.from_str(tokenizer)
+        self._content = tokenizer
+        self._tokenizer: Tokenizer | None = None  # not before a text needs it, for its memory
         self._ids = ranks and ranks[1]
         self._quick = ranks and tiktoken.Encoding(
             "words", pat_str="[^ ]+ ", mergeable_ranks=ranks[0], special_tokens={})
@@ -152,6 +153,8 @@ class WordTokens:
         return b"".join(found)
 
     def _whole(self, text: str) -> bytes:
+        if self._tokenizer is None:
+            self._tokenizer = Tokenizer.from_str(self._content)
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -190,7 +193,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id:
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInArrow(cut, f"doc_id {kind}, {PIECES}")
+    return ids.mapInArrow(releasing(cut), f"doc_id {kind}, {PIECES}")
+
+
+def stored_pieces(docs: DataFrame, tokenizer: str, **options: str | int) -> DataFrame:
+    """``token_pieces`` for ``pack``, worked out from a few texts at a time."""
+    with small_batches(docs.sparkSession):
+        return stage(token_pieces(docs, tokenizer, **options), "pieces")
 
 
 def shortest_pack_first(histogram: dict[int, int], length: int) -> list[tuple[tuple[int, ...], int]]:

@@ -14,7 +14,6 @@ from tallyframe.llm.common import table
 from tallyframe.llm.exact_dedup import exact_dedup
 from tallyframe.llm.ngram_join import ngram_join
 from tallyframe.llm.substrings import dedup_substrings
-from tallyframe.plans.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,8 +114,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer)
-    return packing.pack(stage(pieces, "pieces"))
+    return packing.pack(packing.stored_pieces(table(spark, sf_dir, "documents"), tokenizer))
 
 
 @_query("""

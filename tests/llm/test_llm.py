@@ -10,11 +10,12 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyframe.llm import caps, chat, compression, html, licenses, mixing, packing, pii
+from tallyframe.llm import caps, chat, common, compression, html, licenses, mixing, packing, pii
 from tallyframe.llm.components import components
 from tallyframe.llm.exact_dedup import exact_dedup
 from tallyframe.llm.ngram_join import ngram_join
@@ -241,6 +242,27 @@ def test_pieces_are_the_tokenizers_ids(docs):
     assert packing.pack(stage(packing.token_pieces(docs(), TOKENIZER), "none")).count() == 0
 
 
+def test_pieces_are_made_of_a_few_texts_at_a_time(spark, monkeypatch):
+    def sizes(docs, tokenizer):
+        return docs.mapInArrow(common.releasing(lambda batches: (
+            pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]}) for b in batches)), "n long, bytes long")
+
+    monkeypatch.setattr(packing, "token_pieces", sizes)
+    before = spark.conf.get(common.BATCH_BYTES_CONF)
+    texts = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("word "), 20_000).alias("text"))
+    found = packing.stored_pieces(texts, TOKENIZER).agg(F.sum("n"), F.max("bytes"), F.count("*")).first()
+    assert found[0] == 400 and found[1] < 8 << 20 and found[2] > 4
+    assert spark.conf.get(common.BATCH_BYTES_CONF) == before
+
+
+def test_the_tokenizer_is_made_when_a_text_needs_it():
+    content = Path(TOKENIZER).read_text(encoding="utf-8")
+    tokens = packing.WordTokens(content, packing.word_ranks(content))
+    tokens("Plain words, 5 of them.")
+    assert tokens._tokenizer is None
+    assert tokens("\u0391") and tokens._tokenizer is not None
+
+
 def test_the_quick_encoder_gives_the_tokenizers_ids():
     content = Path(TOKENIZER).read_text(encoding="utf-8")
     plain = Tokenizer.from_str(content)
