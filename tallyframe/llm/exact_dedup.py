@@ -74,8 +74,10 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     # Only columns that the window has too, or it would shuffle again: no constant salt.
     range_key = ["_head", "_h", "_salt"] if hot else ["_head", "_h"]
     better = [F.col("_size").desc(), F.col("_id").asc_nulls_last()]
+    # The text travels once, in its row.
     dealt = (
-        coded.repartitionByRange(ranges, *range_key)
+        coded.drop("_text").repartitionByRange(ranges, *range_key)
+        .withColumn("_text", whole_text(f"row.{text}"))
         .withColumn("norm", norm)
         .withColumn("_size", F.char_length("_text"))
     )

@@ -30,6 +30,9 @@ WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET = 1.5
 EPOCHS = 2.0
 SHARD = 4096
+# Decisions of so many numbers are one array, and those of so many rows, a byte each, go to all tasks.
+CHUNK = 4096
+DECIDED_ROWS = 32 << 20
 
 
 def water_fill(sources: DataFrame, *, budget: float, epochs: float) -> DataFrame:
@@ -163,11 +166,26 @@ def mix_rows(rows: DataFrame, *, text: str = "text", source: str = "source",
     return taken.withColumn("taken", F.col("repeats") * F.col("size"))
 
 
-def repeated(rows: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``numbered`` as often as ``mix_rows`` decided for them."""
-    times = decided.filter("repeats > 0").select("key", "repeats")
+def repeated(rows: DataFrame, decided: DataFrame, *, max_rows: int = DECIDED_ROWS) -> DataFrame:
+    """The rows of ``numbered`` as often as ``mix_rows`` decided for them.
+
+    The numbers of a scan follow each other, so the decisions for ``CHUNK`` of them are one
+    array of bytes. As long as all arrays are small they go to the rows, which stay in place.
+    """
+    size = decided.agg(F.count("*").alias("n"), F.max("repeats").alias("most")).first()
+    if size["n"] <= max_rows and (size["most"] or 0) <= 127:
+        at = F.pmod("key", F.lit(CHUNK)).cast("int")
+        chunks = decided.groupBy(F.expr(f"key div {CHUNK}").alias("_chunk")).agg(
+            F.sort_array(F.collect_list(F.struct(at.alias("at"), F.col("repeats").cast("tinyint").alias("times"))))
+            ["times"].alias("_times"))
+        placed = (
+            rows.withColumn("_chunk", F.expr(f"key div {CHUNK}"))
+            .join(F.broadcast(chunks), "_chunk")
+            .withColumn("repeats", F.element_at("_times", at + 1)).filter("repeats > 0")
+        )
+    else:
+        placed = rows.join(decided.filter("repeats > 0").select("key", "repeats"), "key")
     return (
-        rows.join(times, "key")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
+        placed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats").cast("long"))))
         .select("row.*")
     )

@@ -15,7 +15,9 @@ The join works in three rounds that skip by relations between sets:
    places, of which two late ones are skipped whole. Inside the blocks a pair is skipped by its
    places, by its sizes, by a parity sketch of its sets, or by the answers of a leader that both
    were compared with: the overlap of B with X is at most the overlap of the leader with X plus
-   what B has beyond the leader.
+   what B has beyond the leader. A group of entries with more pairs left than entries names
+   only the closest pair of each component, so pairs never outnumber entries; its list is
+   looked at again when these have been compared.
 3. Of the pairs that are left, every component compares its closest one, some times over;
    the pairs whose components are then still apart are all compared.
 
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import releasing, small_batches, whole_text
 from tallyframe.llm.components import components
+from tallyframe.plans.bloom import may_be_in
 from tallyframe.plans.joins import fits_broadcast
 from tallyframe.plans.staging import Scratch, stage
 
@@ -51,6 +54,8 @@ MEMBERS = 256  # compared with one set in one go
 BLOCK = 1024  # entries of a block of an index list
 LEADER_ROUNDS = 2
 CLOSEST_ROUNDS = 3
+LIST_ROUNDS = 2  # of lists with many pairs, before all of their pairs are named
+LISTED_WORDS = 1 << 21  # of the Bloom filter of the lists' n-grams: 16 MB
 MIXED_ROWS = 20_000  # of the table of lists that are broadcast to their entries
 PAIRS = 1 << 18  # of blocks that are looked at in one go, with 400 bytes each
 
@@ -212,6 +217,16 @@ def _sketch(found: np.ndarray, size: int = SKETCH_BITS) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def _long_enough(n: int, percent: int) -> int:
+    """Bits of a sketch in which unrelated sets of ``n`` differ by more than linked ones may.
+
+    Those fill about half of the bits, so over twice as many bits as linked sets have different
+    n-grams tell them apart.
+    """
+    differing = 2 * n - 2 * _needed(n, n, percent)
+    return max(SKETCH_BITS, 1 << int(9 * differing // 4).bit_length())
+
+
 def _wide_sketch(found: np.ndarray) -> bytes | None:
     """A sketch of at least two bits an n-gram for a set that fills the common size."""
     if len(found) <= SKETCH_BITS:
@@ -238,7 +253,7 @@ def _sets(docs: DataFrame, words: int, percent: int, grams: np.ndarray, counts:
                 low.append((digest & ((1 << 64) - 1)) - (1 << 63))
                 first = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
                 prefix.append(_ordered_prefix(found, first, grams, counts).view("int64"))
-                sketch.append(_sketch(found))
+                sketch.append(_sketch(found, _long_enough(len(found), percent)))
                 wide.append(_wide_sketch(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(high, pa.int64()),
@@ -359,18 +374,70 @@ def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(releasing(led), "a long, b long, apart long").dropDuplicates(["a", "b"])
 
 
+def _folded(sketches: list[bytes], bits: int = SKETCH_BITS) -> np.ndarray:
+    """The sketches with ``bits`` bits each, as rows of words; longer ones are folded."""
+    size = bits // 64
+    rows = np.empty((len(sketches), size), _U)
+    lengths = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        words = np.frombuffer(b"".join(sketches[i] for i in at), _U).reshape(len(at), -1, size)
+        rows[at] = np.bitwise_xor.reduce(words, axis=1)
+    return rows
+
+
 def _bits(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), _U).reshape(-1, SKETCH_BITS // 64)
+    return _folded(column.to_pylist())
+
+
+class _LongSketches:
+    """The sketches of a table of entries that have more than the common size."""
+
+    TOGETHER = 1 << 22  # bytes of the sketches of pairs
+
+    def __init__(self, column: pa.ChunkedArray) -> None:
+        self._sketches = column.to_pylist()
+        self._length = np.fromiter(map(len, self._sketches), np.int64, len(self._sketches))
+        self._rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by length
+
+    def _of(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        if length not in self._rows:
+            at = np.flatnonzero(self._length >= length)
+            place = np.full(len(self._sketches), -1)
+            place[at] = np.arange(len(at))
+            self._rows[length] = place, _folded([self._sketches[i] for i in at], 8 * length)
+        return self._rows[length]
+
+    def differing(self, x: np.ndarray, y: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        """``apart`` by the longest sketches that both sides of a pair have."""
+        both = np.minimum(self._length[x], self._length[y])
+        apart = apart.copy()
+        for length in np.unique(both[both > SKETCH_BITS // 8]):
+            place, rows = self._of(int(length))
+            pairs = np.flatnonzero(both == length)
+            step = max(1, self.TOGETHER // int(length))
+            for low in range(0, len(pairs), step):
+                some = pairs[low:low + step]
+                apart[some] = _differing(rows[place[x[some]]], rows[place[y[some]]])
+        return apart
+
+
+def _closest_of_each(group: np.ndarray, component: tuple[np.ndarray, np.ndarray], apart: np.ndarray) -> np.ndarray:
+    """Places of the pairs that are the closest of one of their components in their group."""
+    order = np.lexsort((apart, group))
+    codes = np.unique(np.concatenate(component), return_inverse=True)[1].reshape(2, -1)[:, order]
+    keys = (group[order] * (codes.max(initial=0) + 1) + codes).T.ravel()
+    return np.sort(order[np.unique(np.unique(keys, return_index=True)[1] // 2)])
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of an index list whose components differ and that nothing known rules out.
+def _cells(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
+    """Entries of the index lists of more than one component, stored, each in its cells of sizes.
 
-    ``classes`` has the component of each class, its leader and the overlap with it.
+    ``classes`` has the component of each class.
     """
     # A set of the next size step up to its own may be similar, none further away.
     step = float(np.log(100 / percent)) * (1 + 1e-9)
@@ -385,16 +452,30 @@ def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFram
         .filter("_low != _high and _early").select("gram"), "mixed")
     if fits_broadcast(mixed, max_rows=MIXED_ROWS):
         mixed = F.broadcast(mixed)
+    else:
+        # Most entries are of no such list and end before the shuffle.
+        likely = may_be_in(mixed, "gram", F.col("gram"), max_words=LISTED_WORDS)
+        entries = entries if likely is None else entries.filter(likely)
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
     # The sets of the next step have at least so many n-grams.
     above = F.greatest("n", F.floor(F.exp(F.lit(step) * (F.col("own") + 1)) * F.lit(1 - 1e-9)).cast("long"))
     meets_above = F.col("pos") <= F.col("n") - _least_overlap("n", "above", percent)
-    cells = scratch.stage(
+    return scratch.stage(
         entries.join(mixed, "gram")
         .withColumn("own", own).withColumn("above", above)
         .withColumn("cell", F.explode(
             F.when(meets_above, F.array("own", F.col("own") + 1)).otherwise(F.array("own"))))
         .drop("above"), "cells")
+
+
+def _cross_pairs(cells: DataFrame, classes: DataFrame, percent: int, *, all_pairs: bool) -> DataFrame:
+    """Pairs of an index list whose components differ and that nothing known rules out.
+
+    ``cells`` has the component of each class, ``classes`` its leader and the overlap with it.
+    Rows with ``listed`` are pairs. A group with more of them than entries has only the closest
+    one of each component, and its ``(gram, cell)`` as a row without ``listed``; with
+    ``all_pairs`` every group has all.
+    """
     early, late = F.count_if("early"), F.count_if(~F.col("early"))
     sized = (
         cells.groupBy("gram", "cell")
@@ -428,13 +509,19 @@ def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFram
     )
     names = dealt.columns[:-1]
 
-    def judged(rows: dict[str, np.ndarray], bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    schema = ["a", "b", "apart", "listed"]
+
+    def judged(rows: dict[str, np.ndarray], bits: np.ndarray, sketches: _LongSketches, firsts: np.ndarray,
+               size: int) -> Iterator[pa.RecordBatch]:
+        """Of the groups of ``size`` entries from ``firsts`` on."""
         n, pos, ids = rows["n"], rows["pos"], rows["id"]
+        x, y = (firsts[:, None] + np.stack(np.triu_indices(size, 1))[:, None]).reshape(2, -1)
+        group = np.repeat(np.arange(len(firsts)), size * (size - 1) // 2)
         keep = rows["component"][x] != rows["component"][y]
         # One entry at least of the cell itself, and each pair of blocks once.
         keep &= (rows["own"][x] == rows["cell"][x]) | (rows["own"][y] == rows["cell"][y])
         keep &= (rows["_i"][x] == rows["_j"][x]) | (rows["_block"][x] != rows["_block"][y])
-        x, y = x[keep], y[keep]
+        x, y, group = x[keep], y[keep], group[keep]
         small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
         need = _needed(n[x], n[y], percent)
         # What two sets can share from their places on, where these are of their first common n-gram.
@@ -445,25 +532,41 @@ def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFram
         most = np.minimum(shared[x] + n[y] - shared[y], shared[y] + n[x] - shared[x])
         same = rows["led"][x] & rows["led"][y] & (rows["leader"][x] == rows["leader"][y])
         keep &= ~same | (most >= need)
-        x, y, need = x[keep], y[keep], need[keep]
+        x, y, need, group = x[keep], y[keep], need[keep], group[keep]
+        most = n[x] + n[y] - 2 * need
         apart = _differing(bits[x], bits[y])
-        keep = apart <= n[x] + n[y] - 2 * need
-        a, b = ids[x[keep]], ids[y[keep]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(apart[keep])], ["a", "b", "apart"])
+        keep = (apart <= most) & (ids[x] != ids[y])
+        x, y, most, group = x[keep], y[keep], most[keep], group[keep]
+        apart = sketches.differing(x, y, apart[keep])
+        keep = apart <= most
+        x, y, apart, group = x[keep], y[keep], apart[keep], group[keep]
+        if not all_pairs:
+            many = np.bincount(group, minlength=len(firsts)) > size
+            if many.any():
+                cut = np.flatnonzero(many[group])
+                closest = cut[_closest_of_each(
+                    group[cut], (rows["component"][x[cut]], rows["component"][y[cut]]), apart[cut])]
+                kept = np.sort(np.append(np.flatnonzero(~many[group]), closest))
+                x, y, apart = x[kept], y[kept], apart[kept]
+                at = firsts[many]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows["gram"][at]), pa.array(rows["cell"][at].astype("int64")),
+                     pa.array(np.zeros(len(at), "int64")), pa.array(np.zeros(len(at), bool))], schema)
+        a, b = ids[x], ids[y]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(apart),
+             pa.array(np.ones(len(a), bool))], schema)
 
     def pairs_of(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Pairs within each group; groups of one size are looked at together."""
         rows = {name: table[name].to_numpy() for name in names}
-        bits = _bits(table["sketch"])
+        bits, sketches = _bits(table["sketch"]), _LongSketches(table["sketch"])
         sizes = np.diff(np.append(starts, len(table)))
         for size in np.unique(sizes[sizes > 1]):
             firsts = starts[sizes == size]
-            x, y = np.triu_indices(size, 1)
-            at_once = max(1, PAIRS // len(x))
+            at_once = max(1, PAIRS // (size * (size - 1) // 2))
             for low in range(0, len(firsts), at_once):
-                some = firsts[low:low + at_once, None]
-                yield judged(rows, bits, (some + x).ravel(), (some + y).ravel())
+                yield from judged(rows, bits, sketches, firsts[low:low + at_once], size)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # the last group, which may go on
@@ -486,8 +589,8 @@ def _cross_pairs(scratch: Scratch, classes: DataFrame, percent: int) -> DataFram
         if held:
             yield from flush(last=True)
 
-    found = dealt.mapInArrow(releasing(pairs), "a long, b long, apart long")
-    return found.filter("a != b").groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    found = dealt.mapInArrow(releasing(pairs), "a long, b long, apart long, listed boolean")
+    return found.groupBy("listed", "a", "b").agg(F.min("apart").alias("apart"))
 
 
 def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -546,23 +649,36 @@ def _linked_classes(scratch: Scratch, classes: DataFrame, docs: DataFrame, words
         .join(labels.withColumnRenamed("node", "id"), "id", "left")
         .join(led.select(F.col("b").alias("id"), F.col("a").alias("leader"), "shared"), "id", "left")
         .withColumn("component", F.coalesce("component", "id")), "known")
-    left = _wide_enough(
-        scratch.stage(_cross_pairs(scratch, known, percent), "pairs"), classes.select("id", "n", "wide"), percent)
-    left = scratch.stage(left, "cross")
-    for turn in range(CLOSEST_ROUNDS + 1):
-        left = scratch.stage(apart(left), "left")
-        if left.isEmpty():
+    cells = _cells(scratch, known, percent)
+    for again in range(LIST_ROUNDS + 1):
+        found = scratch.stage(_cross_pairs(cells, known, percent, all_pairs=again == LIST_ROUNDS), "pairs")
+        left = scratch.stage(
+            _wide_enough(found.filter("listed").drop("listed"), classes.select("id", "n", "wide"), percent), "cross")
+        for turn in range(CLOSEST_ROUNDS + 1):
+            left = scratch.stage(apart(left), "left")
+            if left.isEmpty():
+                break
+            tried = left.select("a", "b")
+            if turn < CLOSEST_ROUNDS:
+                sides = left.select("c_a", "apart", "a", "b").unionByName(
+                    left.select(F.col("c_b").alias("c_a"), "apart", "a", "b"))
+                tried = scratch.stage(
+                    sides.groupBy("c_a").agg(F.min(F.struct("apart", "a", "b")).alias("_pair"))
+                    .select("_pair.a", "_pair.b").distinct(), "tried")
+                left = left.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart")
+            links = links.unionByName(compared(tried).filter(_linked(percent)).select("a", "b"))
+            labels = components(links)
+        # Lists with more pairs, by what their classes belong to now.
+        cut = scratch.stage(
+            found.filter(~F.col("listed")).select(F.col("a").alias("gram"), F.col("b").cast("int").alias("cell")), "cut")
+        if cut.isEmpty():
             break
-        tried = left.select("a", "b")
-        if turn < CLOSEST_ROUNDS:
-            sides = left.select("c_a", "apart", "a", "b").unionByName(
-                left.select(F.col("c_b").alias("c_a"), "apart", "a", "b"))
-            tried = scratch.stage(
-                sides.groupBy("c_a").agg(F.min(F.struct("apart", "a", "b")).alias("_pair"))
-                .select("_pair.a", "_pair.b").distinct(), "tried")
-            left = left.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart")
-        links = links.unionByName(compared(tried).filter(_linked(percent)).select("a", "b"))
-        labels = components(links)
+        if fits_broadcast(cut):
+            cut = F.broadcast(cut)
+        now = labels.select(F.col("node").alias("id"), F.col("component").alias("_now"))
+        cells = scratch.stage(
+            cells.join(cut, ["gram", "cell"], "left_semi").join(now, "id", "left")
+            .withColumn("component", F.coalesce("_now", "component")).drop("_now"), "cells")
     return labels
 
 

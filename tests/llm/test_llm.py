@@ -18,8 +18,9 @@ from tokenizers import Tokenizer
 from tallyframe.llm import caps, chat, common, compression, html, licenses, mixing, packing, pii
 from tallyframe.llm.components import components
 from tallyframe.llm.exact_dedup import exact_dedup
+from tallyframe.llm import ngram_join as ngrams
 from tallyframe.llm.ngram_join import ngram_join
-from tallyframe.plans.staging import stage
+from tallyframe.plans.staging import Scratch, stage
 
 DOC = "doc_id long, text string, source string, row string, kept string, score string"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -84,6 +85,58 @@ def test_ngram_join_equals_brute_force(docs, size, percent):
         i: (len(sets[i]), label[i]) for i in range(len(texts))}
 
 
+def classes_of(frame, percent, size=5):
+    """Classes as the join has them, each a component of its own."""
+    none = np.empty(0, np.uint64)
+    sets = ngrams._sets(frame.select("doc_id", "text"), size, percent, none, none.astype("int64"))
+    return stage(sets.select(
+        F.col("doc_id").alias("id"), "n", "prefix", "sketch", F.col("doc_id").alias("component"),
+        F.lit(None).cast("long").alias("leader"), F.lit(None).cast("long").alias("shared")), "known")
+
+
+def test_pairs_of_similar_texts_do_not_outnumber_entries(spark, docs):
+    base, texts = words(150, 3, 9000), []
+    for i in range(200):
+        texts.append(" ".join([*base[:i % 140], f"x{i}", *base[i % 140 + 1:]]))
+    known = classes_of(docs(*texts), 80)
+    with Scratch(spark) as scratch:
+        cells = ngrams._cells(scratch, known, 80)
+        some = ngrams._cross_pairs(cells, known, 80, all_pairs=False).collect()
+        every = ngrams._cross_pairs(cells, known, 80, all_pairs=True).collect()
+        assert len(every) == 200 * 199 // 2 and all(r.listed for r in every)
+        pairs = {(r.a, r.b) for r in some if r.listed}
+        assert len(pairs) <= cells.count() / 4 and pairs < {(r.a, r.b) for r in every}
+        # Every class has its closest one, and the lists with more pairs are named.
+        assert {i for pair in pairs for i in pair} == set(range(200))
+        assert {(r.a, r.b) for r in some if not r.listed} <= {(r.gram, r.cell) for r in cells.collect()}
+    assert {r.component_id for r in ngram_join(docs(*texts), words=5, percent=80).collect()} == {0}
+
+
+def test_all_pairs_are_compared_where_the_closest_do_not_link(docs, monkeypatch):
+    rng, base = random.Random(5), words(60, 3, 9000)
+    texts = [" ".join(w if rng.random() > 0.09 else f"x{rng.randrange(10**6)}" for w in base) for _ in range(90)]
+    sets = [set(zip(t.split(), t.split()[1:], strict=False)) for t in texts]
+    want = reached(len(texts), lambda a, b: 100 * len(sets[a] & sets[b]) >= 70 * len(sets[a] | sets[b]))
+    for rounds in (0, 1):
+        monkeypatch.setattr(ngrams, "LEADER_ROUNDS", 0)
+        monkeypatch.setattr(ngrams, "LEADER_ENTRIES", 1)
+        monkeypatch.setattr(ngrams, "LIST_ROUNDS", rounds)
+        got = {r.doc_id: r.component_id for r in ngram_join(docs(*texts), words=2, percent=70).collect()}
+        assert [got[i] for i in range(len(texts))] == want and len(set(want)) > 2
+
+
+def test_long_texts_with_a_common_line_are_no_pairs(spark, docs):
+    line = words(30, 1, 9000)
+    copy = words(6000, 2, 10**6)
+    texts = [" ".join([*line, *words(5000 + 40 * i, 10 + i, 10**6)]) for i in range(8)]
+    texts += [" ".join(line + copy), " ".join(line + copy[:5500])]
+    known = classes_of(docs(*texts), 80)
+    with Scratch(spark) as scratch:
+        cells = ngrams._cells(scratch, known, 80)
+        found = ngrams._cross_pairs(cells, known, 80, all_pairs=True).collect()
+    assert {(r.a, r.b) for r in found} == {(8, 9)}
+
+
 def test_ngram_join_without_rows_or_identifiers(docs):
     assert ngram_join(docs()).count() == 0
     rows = ngram_join(docs("a b c d", "a b c d", "a b c d", ids=[None, 7, 7])).collect()
@@ -134,6 +187,12 @@ def test_exact_dedup(docs, copies):
         assert r.row.kept == "k"
 
 
+def test_exact_dedup_moves_a_text_once(docs, plan):
+    lines = plan(exact_dedup(docs("a b", "ab", "c"))).split("\n")
+    moved = next(i for i, line in enumerate(lines) if "rangepartitioning" in line)
+    assert "[row#" in lines[moved + 1] and ", _text#" not in lines[moved + 1]
+
+
 def test_exact_dedup_keeps_one_of_repeated_rows(docs):
     assert [r.kept for r in exact_dedup(docs("a", "a", ids=[1, 1])).collect()].count(True) == 1
     assert exact_dedup(docs()).count() == 0
@@ -201,6 +260,21 @@ def test_mixed_rows_are_those_decided_on_whatever_the_splits(spark, docs, tmp_pa
     assert dict(map(tuple, mixed.groupBy("doc_id").count().collect())) == wanted
 
 
+def test_mixed_texts_stay_in_place(spark, docs, plan):
+    frame = docs(*[" ".join(words(1 + i % 9, i)) for i in range(9000)], sources=["a", "b", None] * 3000)
+    rows = mixing.numbered(frame.repartition(2))
+    decided = mixing.mix_rows(rows)
+    want = {r.key: r.repeats for r in decided.collect()}
+    ids = {r.key: r.doc_id for r in rows.select("key", "row.doc_id").collect()}
+    for limit in (mixing.DECIDED_ROWS, 0):
+        got = mixing.repeated(rows, decided, max_rows=limit)
+        counts = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
+        assert counts == {ids[k]: n for k, n in want.items() if n}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(mixing.repeated(rows, decided))
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 1
+
+
 def test_mixing_does_not_depend_on_the_splits(spark, docs, tmp_path, split_anew):
     frame = stored_sources(spark, docs, tmp_path)
     copies = docs(*["some words"] * 40, ids=[None] * 40, sources=["a"] * 40)
