@@ -36,9 +36,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import releasing, small_batches, whole_text
-from tallyframe.llm.components import components
+from tallyframe.llm.components import components, joined_components, with_ends
 from tallyframe.plans.bloom import may_be_in
-from tallyframe.plans.joins import fits_broadcast
+from tallyframe.plans.joins import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 from tallyframe.plans.staging import Scratch, stage
 
 # N-grams counted at a time in a task; those in LOCAL documents of them are reported.
@@ -57,6 +57,7 @@ CLOSEST_ROUNDS = 3
 LIST_ROUNDS = 2  # of lists with many pairs, before all of their pairs are named
 LISTED_WORDS = 1 << 21  # of the Bloom filter of the lists' n-grams: 16 MB
 MIXED_ROWS = 20_000  # of the table of lists that are broadcast to their entries
+WIDE_BYTES = 8 << 20  # of the wide sketches that are broadcast to the pairs
 PAIRS = 1 << 18  # of blocks that are looked at in one go, with 400 bytes each
 
 _U = np.uint64
@@ -287,15 +288,16 @@ def _compared(scratch: Scratch, pairs: DataFrame, docs: DataFrame, words: int) -
     of which there is one for every ``MEMBERS`` partners.
     """
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("_groups"))
-    to_b = pairs.join(groups, "a").select(
+    # There are at most two rows to send for a pair.
+    few = fits_broadcast(pairs, max_rows=BROADCAST_ROWS // 2, max_bytes=BROADCAST_BYTES // 2)
+    to_b = pairs.join(F.broadcast(groups) if few else groups, "a").select(
         F.col("b").alias("doc_id"), F.col("a").alias("key"),
         F.pmod(F.xxhash64("b"), F.col("_groups")).cast("int").alias("part"), F.lit(1).alias("role"))
     to_a = groups.select(
         F.col("a").alias("doc_id"), F.col("a").alias("key"),
         F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("part"), F.lit(0).alias("role"))
-    sends = scratch.stage(to_b.unionByName(to_a), "sends")
-    if fits_broadcast(sends):
-        sends = F.broadcast(sends)
+    sends = to_b.unionByName(to_a)
+    sends = F.broadcast(sends) if few else scratch.stage(sends, "sends")
     dealt = (
         docs.join(sends, "doc_id")
         .repartition("key", "part").sortWithinPartitions("key", "part", "role")
@@ -594,11 +596,13 @@ def _cross_pairs(cells: DataFrame, classes: DataFrame, percent: int, *, all_pair
 
 
 def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the wide sketches of long sets leave; ``sets`` has those."""
+    """The pairs that the wide sketches of long sets leave; ``sets`` has those, and is stored."""
+    long = sets.filter("wide is not null")
+    if fits_broadcast(long, max_bytes=WIDE_BYTES):
+        long = F.broadcast(long)
     for side in ("a", "b"):
         pairs = pairs.join(
-            sets.filter("wide is not null")
-            .select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("wide").alias(f"w_{side}")),
+            long.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("wide").alias(f"w_{side}")),
             side, "left")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -620,30 +624,21 @@ def _linked_classes(scratch: Scratch, classes: DataFrame, docs: DataFrame, words
     def compared(pairs: DataFrame) -> DataFrame:
         return scratch.stage(_compared(scratch, pairs, docs, words), "compared")
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose components differ now, with these components."""
-        for side in ("a", "b"):
-            pairs = pairs.join(
-                labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}")), side, "left"
-            ).withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-        return pairs.filter("c_a != c_b")
-
     # Members take the leader that comes first by a hash for all lists, so a group agrees on
     # few; those that this does not link take the closest that is left, some times over.
     stars = scratch.stage(_star_pairs(classes, percent), "stars")
     first = F.min(F.struct(F.xxhash64("a").alias("place"), "a")).alias("_led")
     led = compared(scratch.stage(stars.groupBy("b").agg(first).select("_led.a", "b"), "led"))
-    links = led.filter(_linked(percent)).select("a", "b")
-    labels = components(links)
+    labels = components(led.filter(_linked(percent)))
     tried = led.select("a", "b")
     for _ in range(LEADER_ROUNDS):
-        stars = scratch.stage(apart(stars).join(tried, ["a", "b"], "left_anti").select("a", "b", "apart"), "stars")
+        stars = scratch.stage(
+            with_ends(stars, labels).join(tried, ["a", "b"], "left_anti").select("a", "b", "apart"), "stars")
         closest = F.min(F.struct("apart", "a")).alias("_led")
         tried = scratch.stage(stars.groupBy("b").agg(closest).select("_led.a", "b"), "tried")
         if tried.isEmpty():
             break
-        links = links.unionByName(compared(tried).filter(_linked(percent)).select("a", "b"))
-        labels = components(links)
+        labels = joined_components(labels, compared(tried).filter(_linked(percent)))
     known = scratch.stage(
         classes.select("id", "n", "prefix", "sketch")
         .join(labels.withColumnRenamed("node", "id"), "id", "left")
@@ -655,7 +650,7 @@ def _linked_classes(scratch: Scratch, classes: DataFrame, docs: DataFrame, words
         left = scratch.stage(
             _wide_enough(found.filter("listed").drop("listed"), classes.select("id", "n", "wide"), percent), "cross")
         for turn in range(CLOSEST_ROUNDS + 1):
-            left = scratch.stage(apart(left), "left")
+            left = scratch.stage(with_ends(left, labels), "left")
             if left.isEmpty():
                 break
             tried = left.select("a", "b")
@@ -666,8 +661,7 @@ def _linked_classes(scratch: Scratch, classes: DataFrame, docs: DataFrame, words
                     sides.groupBy("c_a").agg(F.min(F.struct("apart", "a", "b")).alias("_pair"))
                     .select("_pair.a", "_pair.b").distinct(), "tried")
                 left = left.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart")
-            links = links.unionByName(compared(tried).filter(_linked(percent)).select("a", "b"))
-            labels = components(links)
+            labels = joined_components(labels, compared(tried).filter(_linked(percent)))
         # Lists with more pairs, by what their classes belong to now.
         cut = scratch.stage(
             found.filter(~F.col("listed")).select(F.col("a").alias("gram"), F.col("b").cast("int").alias("cell")), "cut")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyframe.llm import caps, chat, common, compression, html, licenses, mixing, packing, pii
-from tallyframe.llm.components import components
+from tallyframe.llm.components import components, joined_components
 from tallyframe.llm.exact_dedup import exact_dedup
 from tallyframe.llm import ngram_join as ngrams
 from tallyframe.llm.ngram_join import ngram_join
@@ -170,6 +170,56 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(21)}, **{100 + i: 100 for i in range(30)}}
 
 
+@pytest.fixture
+def staged(monkeypatch):
+    """Names and rows of the tables that blocks of ``Scratch`` write."""
+    tables = []
+    stage_in = Scratch.stage
+
+    def noted(self, df, label):
+        out = stage_in(self, df, label)
+        tables.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(Scratch, "stage", noted)
+    return tables
+
+
+def test_components_write_one_table_a_round(spark, staged):
+    got = components(spark.createDataFrame([(9, i) for i in range(9)], "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(i, 0) for i in range(10)]
+    # The links, the first labels, and two rounds, of which the last changes nothing.
+    assert [label for label, _ in staged] == ["links", "labels", "labels", "labels"]
+
+
+@pytest.mark.parametrize("most", [0, 10**5])
+def test_links_join_components(spark, staged, monkeypatch, most):
+    monkeypatch.setattr("tallyframe.llm.components.BROADCAST_LABELS", most)
+    rng = random.Random(8)
+    links = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(None, 3), (5, 5)]
+    frames = [stage(spark.createDataFrame(part, "a long, b long"), "links")
+              for part in (links[:20], links[20:40], links[40:], links)]
+    labels = components(frames[0])
+    for frame in frames[1:3]:
+        labels = joined_components(labels, frame)
+    both = {frozenset(link) for link in links}
+    want = reached(80, lambda a, b: frozenset((a, b)) in both)
+    linked = {i for a, b in links if a is not None and a != b for i in (a, b)}
+    assert sorted(map(tuple, labels.collect())) == sorted((i, want[i]) for i in linked)
+    # Links inside the components are not looked at again.
+    staged.clear()
+    assert sorted(joined_components(labels, frames[3]).collect()) == sorted(labels.collect())
+    assert {rows for label, rows in staged if label == "links"} == {0}
+
+
+def test_rounds_of_the_join_do_not_repeat_earlier_links(docs, staged):
+    rng, base = random.Random(5), words(60, 3, 9000)
+    texts = [" ".join(w if rng.random() > 0.09 else f"x{rng.randrange(10**6)}" for w in base) for _ in range(90)]
+    ngram_join(docs(*texts), words=2, percent=70)
+    links = [rows for label, rows in staged if label == "links"]
+    assert len(links) > 2 and min(links[1:]) < links[0]
+
+
 @pytest.mark.parametrize("copies", [3, 400])
 def test_exact_dedup(docs, copies):
     """With many copies the text is hot and spreads over salts."""
