@@ -596,8 +596,12 @@ def _cross_pairs(cells: DataFrame, classes: DataFrame, percent: int, *, all_pair
 
 
 def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the wide sketches of long sets leave; ``sets`` has those, and is stored."""
+    """The pairs that the wide sketches of long sets leave; ``sets`` has those. Both are stored."""
     long = sets.filter("wide is not null")
+    if fits_broadcast(pairs):
+        # Sketches of sets without a pair do not travel.
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+        long = long.join(F.broadcast(ends), "id", "left_semi")
     if fits_broadcast(long, max_bytes=WIDE_BYTES):
         long = F.broadcast(long)
     for side in ("a", "b"):

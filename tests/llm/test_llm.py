@@ -137,6 +137,20 @@ def test_long_texts_with_a_common_line_are_no_pairs(spark, docs):
     assert {(r.a, r.b) for r in found} == {(8, 9)}
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_wide_sketches_tell_long_sets_apart(spark, monkeypatch, few):
+    monkeypatch.setattr(ngrams, "fits_broadcast", lambda *a, **b: few)
+    rng = np.random.default_rng(4)
+    found = [np.unique(rng.integers(0, 1 << 63, 3000).astype(np.uint64)) for _ in range(2)]
+    found += [found[0][:2900], found[1][:50]]
+    sets = stage(spark.createDataFrame(
+        [(i, len(x), ngrams._wide_sketch(x)) for i, x in enumerate(found)], "id long, n long, wide binary"), "sets")
+    pairs = stage(spark.createDataFrame(
+        [(0, 1, 5), (0, 2, 5), (1, 2, 5), (1, 3, 5)], "a long, b long, apart long"), "pairs")
+    left = ngrams._wide_enough(pairs, sets, 90).collect()
+    assert sorted(map(tuple, left)) == [(0, 2, 5), (1, 3, 5)]
+
+
 def test_ngram_join_without_rows_or_identifiers(docs):
     assert ngram_join(docs()).count() == 0
     rows = ngram_join(docs("a b c d", "a b c d", "a b c d", ids=[None, 7, 7])).collect()
